@@ -72,7 +72,7 @@ def inject_missingness(df: DataFrame, key_cols, rules, seed: int = DEFAULT_SEED)
         return masked, None
     counts = masked.agg(*[F.count_if(F.col(f)).alias(f) for f in flags])
     stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(m).alias("mechanism"),
+        F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("mechanism"),
                  F.lit(p).alias("target_missing_percentage"),
                  F.col(f).cast("long").alias("realized_missing_rows"), F.lit(t).alias("rule"))
         for (c, m, p, t), f in zip(meta, flags)])).alias("s")).select("s.*")
@@ -96,7 +96,7 @@ def missing_profile(df: DataFrame, cols=None) -> DataFrame:
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_c{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs)
     return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"),
+        F.struct(F.lit(c).alias("column_name"),
                  F.col(f"_c{i}").cast("long").alias("missing_count"),
                  (F.col(f"_c{i}") / F.col("_n")).alias("missing_rate"),
                  (F.col(f"_c{i}") * 100.0 / F.col("_n")).alias("missing_pct"))
@@ -116,7 +116,7 @@ def null_matrix(df: DataFrame, key_cols, cols, n: int = 400, seed: int = DEFAULT
     """Sampled null matrix (C8): (key..., column, is_null) for <= n md5-chosen rows."""
     s = sample_rows(df.select(*key_cols, *cols), key_cols, n, seed, salt="nullmatrix")
     return s.select(*key_cols, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).isNull().alias("is_null")) for c in cols
+        F.struct(F.lit(c).alias("column_name"), F.col(c).isNull().alias("is_null")) for c in cols
     ])).alias("s")).select(*key_cols, "s.*")
 
 

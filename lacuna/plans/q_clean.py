@@ -1,5 +1,210 @@
-"""Registered queries."""
+"""Cleaning, contract and projection queries."""
 
 from __future__ import annotations
 
-from .catalog import query  # noqa: F401
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions.exprs import to_date_or_null, to_double
+from ..operators import clean
+from ..operators.missing import inject_duplicates
+from ..sources.tables import ORDER_FACTS_SQL, events_series, order_facts, read_table, \
+    scored_labels
+from .catalog import query
+from .fixtures_sql import md5_sql
+
+_DUP_EVENTS_SQL = f"""
+dup AS (SELECT event_id, user_id, ts, event_type, value FROM events
+        ORDER BY {md5_sql(['event_id'], 'duplicate')} LIMIT 24),
+raw AS (SELECT event_id, user_id, ts, event_type, value FROM events
+        UNION ALL SELECT * FROM dup)"""
+
+
+def _events_with_duplicates(spark, sf_dir):
+    return inject_duplicates(events_series(spark, sf_dir), ["event_id"], 24)
+
+
+@query("c5_duplicate_injection", f"""WITH {_DUP_EVENTS_SQL.strip()}
+SELECT event_id, user_id, round(value, 6) AS value FROM raw""")
+def c5_duplicate_injection(spark, sf_dir):
+    return _events_with_duplicates(spark, sf_dir).select(
+        "event_id", "user_id", F.round("value", 6).alias("value"))
+
+
+@query("b1_deduplicate", f"""WITH {_DUP_EVENTS_SQL.strip()}
+SELECT DISTINCT event_id, user_id, ts, event_type, round(value, 6) AS value FROM raw""")
+def b1_deduplicate(spark, sf_dir):
+    out, _ = clean.deduplicate(_events_with_duplicates(spark, sf_dir))
+    return out.select("event_id", "user_id", "ts", "event_type", F.round("value", 6).alias("value"))
+
+
+@query("b1_duplicates_removed", f"""WITH {_DUP_EVENTS_SQL.strip()}
+SELECT (SELECT count(*) FROM raw) AS rows_before,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS rows_after,
+       (SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw))
+         AS removed""")
+def b1_duplicates_removed(spark, sf_dir):
+    _, stats = clean.deduplicate(_events_with_duplicates(spark, sf_dir))
+    return stats
+
+
+@query("b2_date_coercion", """
+SELECT event_id,
+       CAST(TRY_CAST(substring(CAST(ts AS VARCHAR), 1, 10) AS DATE) AS VARCHAR) AS day_text_date,
+       CAST(TRY_CAST(event_type AS DATE) AS VARCHAR) AS junk_text_date
+FROM events""")
+def b2_date_coercion(spark, sf_dir):
+    ev = events_series(spark, sf_dir).select(
+        "event_id", F.substring(F.col("ts").cast("string"), 1, 10).alias("day_text_date"),
+        F.col("event_type").alias("junk_text_date"))
+    out = clean.coerce_types(ev, date_cols=["day_text_date", "junk_text_date"])
+    return out.select("event_id", *[F.col(c).cast("string").alias(c)
+                                    for c in ("day_text_date", "junk_text_date")])
+
+
+@query("b3_numeric_coercion", """
+SELECT event_id,
+       round(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE), 6) AS value_text_num,
+       TRY_CAST(props AS DOUBLE) AS props_num
+FROM events""")
+def b3_numeric_coercion(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", F.col("value").cast("string").alias("value_text_num"),
+        F.col("props").alias("props_num"))
+    out = clean.coerce_types(ev, numeric_cols=["value_text_num", "props_num"])
+    return out.select("event_id", F.round("value_text_num", 6).alias("value_text_num"),
+                      "props_num")
+
+
+@query("b4_categorical_text", """
+SELECT doc_id, CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic
+FROM labels""")
+def b4_categorical_text(spark, sf_dir):
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return clean.coerce_types(lab, categorical_cols=["quality", "toxic"])
+
+
+@query("b5_series_position", """
+SELECT event_id, user_id,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS position
+FROM events""")
+def b5_series_position(spark, sf_dir):
+    """Canonical order inside each series: (group, order key, row key)."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return events_series(spark, sf_dir).select(
+        "event_id", "user_id", F.row_number().over(w).alias("position"))
+
+
+@query("b8_drop_incomplete", f"""
+WITH of AS ({ORDER_FACTS_SQL})
+SELECT o_orderkey, round(qty, 6) AS qty FROM of WHERE n_lines IS NOT NULL AND qty IS NOT NULL""")
+def b8_drop_incomplete(spark, sf_dir):
+    out = clean.drop_incomplete(order_facts(spark, sf_dir), ["n_lines", "qty"])
+    return out.select("o_orderkey", F.round("qty", 6).alias("qty"))
+
+
+@query("b9_risk_class", """
+SELECT event_id, round(value, 6) AS value,
+       CASE WHEN value >= 85 THEN 'High' WHEN value >= 70 THEN 'Moderate' ELSE 'Low' END
+         AS risk_class
+FROM events""")
+def b9_risk_class(spark, sf_dir):
+    ev = events_series(spark, sf_dir)
+    out = clean.with_risk_class(ev, "value", "risk_class")
+    return out.select("event_id", F.round("value", 6).alias("value"), "risk_class")
+
+
+@query("b10_truthy_flags", """
+SELECT doc_id, coalesce(quality > 0, false) AS quality_flag,
+       coalesce(lower(trim(CAST(toxic AS VARCHAR))) IN ('yes','true','1','holiday',
+                'public holiday'), false) AS toxic_flag
+FROM labels""")
+def b10_truthy_flags(spark, sf_dir):
+    lab = read_table(spark, sf_dir, "labels").select(
+        "doc_id", "quality", F.col("toxic").cast("string").alias("toxic"))
+    out = clean.with_truthy(lab, "quality", "quality_flag")
+    out = clean.with_truthy(out, "toxic", "toxic_flag")
+    return out.select("doc_id", "quality_flag", "toxic_flag")
+
+
+_NUM = ["o_totalprice", "n_lines", "qty", "extprice", "avg_disc"]
+
+
+def _minmax_sql():
+    sel = []
+    for c in _NUM:
+        sel.append(f"""round(CASE WHEN max({c}) OVER () = min({c}) OVER ()
+                    OR max({c}) OVER () IS NULL THEN 0.0
+                  ELSE ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END, 6)
+                  AS {c}_Normalized""")
+    return f"WITH of AS ({ORDER_FACTS_SQL})\nSELECT o_orderkey, " + ", ".join(sel) + " FROM of"
+
+
+@query("b13_min_max_normalize", _minmax_sql())
+def b13_min_max_normalize(spark, sf_dir):
+    out = clean.min_max_normalize(order_facts(spark, sf_dir), _NUM)
+    return out.select("o_orderkey", *[F.round(f"{c}_Normalized", 6).alias(f"{c}_Normalized")
+                                      for c in _NUM])
+
+
+def _robust_sql():
+    stats = ", ".join(
+        f"quantile_cont({c}, 0.5) AS med_{c}, "
+        f"quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS iqr_{c}" for c in _NUM)
+    sel = ", ".join(
+        f"round(({c} - med_{c}) / CASE WHEN iqr_{c} = 0 OR iqr_{c} IS NULL THEN 1.0 "
+        f"ELSE iqr_{c} END, 6) AS {c}_Scaled" for c in _NUM)
+    return (f"WITH of AS ({ORDER_FACTS_SQL}), st AS (SELECT {stats} FROM of)\n"
+            f"SELECT o_orderkey, {sel} FROM of, st")
+
+
+@query("b14_robust_scale", _robust_sql())
+def b14_robust_scale(spark, sf_dir):
+    out = clean.robust_scale(order_facts(spark, sf_dir), _NUM)
+    return out.select("o_orderkey", *[F.round(f"{c}_Scaled", 6).alias(f"{c}_Scaled")
+                                      for c in _NUM])
+
+
+@query("a4_contract_violations", """
+SELECT count(*) AS rows,
+       CAST(count_if(ts IS NOT NULL AND TRY_CAST(substring(CAST(ts AS VARCHAR), 1, 10) AS DATE)
+                IS NULL) AS BIGINT) AS invalid_day,
+       CAST(count_if(props IS NOT NULL AND TRY_CAST(props AS DOUBLE) IS NULL) AS BIGINT) AS non_numeric_props,
+       CAST(count_if(value IS NOT NULL AND TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) IS NULL)
+         AS BIGINT) AS non_numeric_value
+FROM events""")
+def a4_contract_violations(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select(
+        F.substring(F.col("ts").cast("string"), 1, 10).alias("day"), "props",
+        F.col("value").cast("string").alias("value"))
+    v = clean.violation_counts(ev, date_cols=["day"], numeric_cols=["props", "value"])
+    return v.select(F.col("rows").cast("long").alias("rows"),
+                    F.col("invalid_day").cast("long").alias("invalid_day"),
+                    F.col("non_numeric_props").cast("long").alias("non_numeric_props"),
+                    F.col("non_numeric_value").cast("long").alias("non_numeric_value"))
+
+
+@query("a5_preview", """
+SELECT substring(CAST(o_orderkey AS VARCHAR), 1, 28) AS o_orderkey,
+       substring(CAST(o_custkey AS VARCHAR), 1, 28) AS o_custkey,
+       substring(o_orderstatus, 1, 28) AS o_orderstatus,
+       substring(o_orderpriority, 1, 28) AS o_orderpriority
+FROM orders ORDER BY orders.o_orderkey LIMIT 80""")
+def a5_preview(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return clean.preview(o, ["o_orderkey"])
+
+
+@query("a4_scored_labels_rows", """
+SELECT count(*) AS rows, CAST(count_if(actual IS NULL) AS BIGINT) AS null_actual,
+       CAST(count_if(predicted IS NULL) AS BIGINT) AS null_predicted
+FROM (SELECT CAST(quality AS VARCHAR) AS actual, CAST(toxic AS VARCHAR) AS predicted FROM labels)""")
+def a4_scored_labels_rows(spark, sf_dir):
+    s = scored_labels(spark, sf_dir)
+    return s.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(F.col("actual").isNull()).cast("long").alias("null_actual"),
+                 F.count_if(F.col("predicted").isNull()).cast("long").alias("null_predicted"))
+
+
+_ = (to_date_or_null, to_double)
