@@ -83,3 +83,30 @@ def tie_counts(df: DataFrame, group_cols, value_col: str) -> DataFrame:
     t = df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_t"))
     return t.groupBy(*group_cols).agg(
         F.sum(F.pow(F.col("_t"), 3) - F.col("_t")).alias("tie_term"))
+
+
+def running_totals(df: DataFrame, order_col: str, value_cols, descending: bool = True,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Cumulative sums of ``value_cols`` in ``order_col`` order over the whole table.
+
+    Rows must be unique in ``order_col`` (aggregate ties first).  Range
+    partitioning + per-partition totals + broadcast offsets, as in ``positions``;
+    the offsets table has one row per partition.
+    """
+    value_cols = list(value_cols)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    ranged = (df.repartitionByRange(n, key).sortWithinPartitions(key)
+                .withColumn("_pid", F.spark_partition_id()))
+    ranged = cut_lineage(ranged)
+    tot = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(w), F.lit(0)).alias(f"_o_{c}")
+                                for c in value_cols])
+    offs = cut_lineage(offs)
+    within = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(c).over(within).alias(f"_l_{c}") for c in value_cols])
+    out = local.join(F.broadcast(offs), "_pid")
+    return out.select(*df.columns, *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"cum_{c}")
+                                     for c in value_cols])

@@ -1,5 +1,131 @@
-"""Registered queries."""
+"""Evaluation queries (J15, K1-K5) on the scored ``labels`` table, and model queries.
+
+``scored_labels``: actual = quality, predicted = toxic (a fixed (actual,
+predicted) table); the score for curves is the document length min-max scaled
+over the labelled documents (any numeric score works).
+"""
 
 from __future__ import annotations
 
-from .catalog import query  # noqa: F401
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import evaluate
+from ..operators.clean import min_max_normalize
+from ..sources.tables import SCORED_LABELS_SQL, read_table, scored_labels
+from .catalog import query
+
+SL = f"WITH sl AS ({SCORED_LABELS_SQL})"
+SCORED_SQL = f"""WITH j AS (SELECT l.doc_id, CAST(l.quality AS VARCHAR) AS actual,
+                          CAST(l.toxic AS VARCHAR) AS predicted, CAST(d.n_chars AS DOUBLE) AS n_chars
+                   FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+sc AS (SELECT doc_id, actual, predicted,
+              CASE WHEN max(n_chars) OVER () = min(n_chars) OVER () THEN 0.0
+                   ELSE (n_chars - min(n_chars) OVER ()) / (max(n_chars) OVER ()
+                        - min(n_chars) OVER ()) END AS score FROM j)"""
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    lab = scored_labels(spark, sf_dir)
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"))
+    j = lab.join(docs, "doc_id")
+    return min_max_normalize(j, ["n_chars"]).withColumnRenamed("n_chars_Normalized", "score")
+
+
+def _r(c, d=6):
+    return F.round(F.col(c), d).alias(c)
+
+
+_PC = SL + """,
+c AS (SELECT actual, predicted, count(*) AS n FROM sl GROUP BY 1, 2),
+labels_ AS (SELECT actual AS label FROM c UNION SELECT predicted FROM c),
+pc0 AS (SELECT l.label,
+   coalesce((SELECT sum(n) FROM c WHERE c.actual = l.label AND c.predicted = l.label), 0) AS tp,
+   coalesce((SELECT sum(n) FROM c WHERE c.actual = l.label), 0) AS support,
+   coalesce((SELECT sum(n) FROM c WHERE c.predicted = l.label), 0) AS npred
+  FROM labels_ l),
+pc1 AS (SELECT label, CASE WHEN npred > 0 THEN tp / npred ELSE 0.0 END AS precision,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+               CAST(support AS DOUBLE) AS support FROM pc0),
+pc AS (SELECT label, precision, recall,
+              CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                   ELSE 0.0 END AS "f1-score", support FROM pc1)"""
+
+
+@query("j15_classification_metrics", _PC + """
+SELECT round((SELECT count_if(actual = predicted) / count(*) FROM sl), 6) AS accuracy,
+       round(avg(precision), 6) AS precision_macro, round(avg(recall), 6) AS recall_macro,
+       round(avg("f1-score"), 6) AS f1_macro FROM pc""")
+def j15_classification_metrics(spark, sf_dir):
+    m = evaluate.summary_metrics(scored_labels(spark, sf_dir), "actual", "predicted")
+    return m.select(*[_r(c) for c in ("accuracy", "precision_macro", "recall_macro", "f1_macro")])
+
+
+@query("k1_classification_report", _PC + """,
+acc AS (SELECT count_if(actual = predicted) / count(*) AS a FROM sl)
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round("f1-score", 6) AS "f1-score", round(support, 6) AS support FROM (
+  SELECT * FROM pc
+  UNION ALL SELECT 'accuracy', a, a, a, a FROM acc
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg("f1-score"), sum(support) FROM pc
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
+     sum(recall * support) / sum(support), sum("f1-score" * support) / sum(support),
+     sum(support) FROM pc)""")
+def k1_classification_report(spark, sf_dir):
+    r = evaluate.classification_report(scored_labels(spark, sf_dir), "actual", "predicted")
+    return r.select("label", *[_r(c) for c in ("precision", "recall", "f1-score", "support")])
+
+
+@query("k2_confusion_matrix", SL + """
+SELECT actual, predicted, CAST(count(*) AS BIGINT) AS count FROM sl GROUP BY 1, 2""")
+def k2_confusion_matrix(spark, sf_dir):
+    return evaluate.confusion_counts(scored_labels(spark, sf_dir), "actual", "predicted")
+
+
+_ROC = SCORED_SQL + """,
+bc AS (SELECT score, sum(CASE WHEN actual = '1' THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN actual = '1' THEN 0 ELSE 1 END) AS fp FROM sc GROUP BY score),
+tot AS (SELECT sum(tp) AS P, sum(fp) AS N FROM bc),
+cum AS (SELECT score, tp, fp,
+   sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tp,
+   sum(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_fp
+   FROM bc)"""
+
+
+@query("k3_k4_roc_pr_points", _ROC + """
+SELECT round(score, 6) AS threshold, CAST(cum_tp AS BIGINT) AS cum_tp,
+       CAST(cum_fp AS BIGINT) AS cum_fp, round(cum_tp / P, 6) AS tpr, round(cum_fp / N, 6) AS fpr,
+       round(cum_tp / (cum_tp + cum_fp), 6) AS precision
+FROM cum, tot""")
+def k3_k4_roc_pr_points(spark, sf_dir):
+    p = evaluate.roc_pr_points(_scored(spark, sf_dir), "actual", "score", positive="1")
+    return p.select(_r("threshold"), F.col("cum_tp").cast("long").alias("cum_tp"),
+                    F.col("cum_fp").cast("long").alias("cum_fp"), _r("tpr"), _r("fpr"),
+                    _r("precision"))
+
+
+@query("k3_k4_auc_ap", _ROC + """
+SELECT round(sum(fp / N * (2 * cum_tp - tp) / (2 * P)), 6) AS roc_auc,
+       round(sum(tp / P * cum_tp / (cum_tp + cum_fp)), 6) AS average_precision
+FROM cum, tot""")
+def k3_k4_auc_ap(spark, sf_dir):
+    p = evaluate.roc_pr_points(_scored(spark, sf_dir), "actual", "score", positive="1")
+    return evaluate.auc_ap(p).select(_r("roc_auc"), _r("average_precision"))
+
+
+@query("k5_calibration", SCORED_SQL + """,
+e AS (SELECT quantile_cont(score, 0.125) AS q1, quantile_cont(score, 0.25) AS q2,
+             quantile_cont(score, 0.375) AS q3, quantile_cont(score, 0.5) AS q4,
+             quantile_cont(score, 0.625) AS q5, quantile_cont(score, 0.75) AS q6,
+             quantile_cont(score, 0.875) AS q7 FROM sc),
+b AS (SELECT score, CASE WHEN actual = '1' THEN 1.0 ELSE 0.0 END AS y,
+        (CASE WHEN score > q1 THEN 1 ELSE 0 END) + (CASE WHEN score > q2 THEN 1 ELSE 0 END)
+      + (CASE WHEN score > q3 THEN 1 ELSE 0 END) + (CASE WHEN score > q4 THEN 1 ELSE 0 END)
+      + (CASE WHEN score > q5 THEN 1 ELSE 0 END) + (CASE WHEN score > q6 THEN 1 ELSE 0 END)
+      + (CASE WHEN score > q7 THEN 1 ELSE 0 END) AS bin FROM sc, e)
+SELECT bin, round(avg(score), 6) AS mean_predicted, round(avg(y), 6) AS observed_frequency,
+       CAST(count(*) AS BIGINT) AS n FROM b GROUP BY bin""")
+def k5_calibration(spark, sf_dir):
+    c = evaluate.calibration(_scored(spark, sf_dir), "actual", "score", positive="1")
+    return c.select("bin", _r("mean_predicted"), _r("observed_frequency"), "n")
