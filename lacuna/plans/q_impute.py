@@ -211,3 +211,26 @@ def d15_policy_repair(spark, sf_dir):
     out = repair_with_policy(df, ORDER_FACTS, POLICY)
     return out.select("o_orderkey", *[F.round(c, 6).alias(c) for c in
                                        ("extprice", "qty", "o_totalprice")], "c_mktsegment")
+
+
+# ---------------------------------------------------------------- model-based
+# Not SQL-expressible (iterative fits, forests, splines); checked against NumPy
+# brute force on fixtures in tests/test_learned.py.  Masked order_facts: the
+# five numeric columns with extprice, qty, o_totalprice masked at 12 %.
+LEARNED_COLS = ["o_totalprice", "qty", "extprice", "n_lines", "avg_disc"]
+
+
+def _order_facts_repair(method):
+    def run(spark, sf_dir):
+        df = spark_masked_order_facts(spark, sf_dir)
+        out = impute(df, ORDER_FACTS.with_numeric(LEARNED_COLS), method)
+        return out.select("o_orderkey", *[F.round(c, 6).alias(c) for c in LEARNED_COLS])
+    run.__doc__ = f"order_facts repaired by {method} (whole table)."
+    return run
+
+
+query("d8_spline_interpolation")(_events_repair("Spline Interpolation"))
+query("d9_knn_imputer")(_order_facts_repair("KNN Imputer"))
+query("d10_iterative_mice")(_order_facts_repair("Iterative Imputer (MICE)"))
+query("d11_regression_imputation")(_order_facts_repair("Regression Imputation"))
+query("d12_random_forest_imputation")(_order_facts_repair("Random Forest Imputation"))
