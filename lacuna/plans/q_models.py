@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evaluate
+from ..session import cut_lineage
 from ..operators.clean import min_max_normalize
 from ..sources.tables import SCORED_LABELS_SQL, read_table, scored_labels
 from .catalog import query
@@ -129,3 +130,142 @@ SELECT bin, round(avg(score), 6) AS mean_predicted, round(avg(y), 6) AS observed
 def k5_calibration(spark, sf_dir):
     c = evaluate.calibration(_scored(spark, sf_dir), "actual", "score", positive="1")
     return c.select("bin", _r("mean_predicted"), _r("observed_frequency"), "n")
+
+
+# ---------------------------------------------------------------- modelling (J, E8, K6-K11)
+from ..operators import explain, modeling  # noqa: E402
+from ..sources.tables import ORDER_FACTS_SQL, order_facts  # noqa: E402
+from ..functions.exprs import md5_key  # noqa: E402
+from .fixtures_sql import md5_sql  # noqa: E402
+
+FEATS = modeling.Features(["o_totalprice", "qty", "extprice", "n_lines", "avg_disc"],
+                          ["o_orderpriority", "c_mktsegment"], "o_orderstatus")
+KEY = ["o_orderkey"]
+_memo: dict = {}
+
+
+def _once(spark, sf_dir, name, fn):
+    k = (spark.sparkContext.applicationId, sf_dir, name)
+    if k not in _memo:
+        _memo[k] = fn()
+    return _memo[k]
+
+
+@query("j1_chronological_split", f"""WITH of AS ({ORDER_FACTS_SQL})
+SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey)
+                         <= CAST(floor(count(*) OVER () * 0.75) AS BIGINT)
+                   THEN 'train' ELSE 'test' END AS split
+FROM of""")
+def j1_chronological_split(spark, sf_dir):
+    train, test = modeling.chronological_split(order_facts(spark, sf_dir), "o_orderdate", KEY)
+    return train.select("o_orderkey", F.lit("train").alias("split")).unionByName(
+        test.select("o_orderkey", F.lit("test").alias("split")))
+
+
+@query("j2_j3_cv_folds", f"""WITH of AS ({ORDER_FACTS_SQL}),
+cv AS (SELECT * FROM of ORDER BY {md5_sql(KEY, 'cv')} LIMIT 5000)
+SELECT o_orderkey, o_orderstatus,
+       CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY {md5_sql(KEY, 'fold')},
+            o_orderkey) % 3 AS INTEGER) AS fold
+FROM cv""")
+def j2_j3_cv_folds(spark, sf_dir):
+    from ..operators.missing import sample_rows
+    cv = sample_rows(order_facts(spark, sf_dir), KEY, 5000, salt="cv")
+    return modeling.stratified_folds(cv, "o_orderstatus", KEY).select(
+        "o_orderkey", "o_orderstatus", "fold")
+
+
+def _training(spark, sf_dir):
+    return _once(spark, sf_dir, "train", lambda: modeling.train_and_evaluate(
+        order_facts(spark, sf_dir), FEATS, "o_orderdate", KEY))
+
+
+@query("j11_model_comparison")
+def j11_model_comparison(spark, sf_dir):
+    """CV comparison of the six candidates on the training period (3 stratified folds)."""
+    return _training(spark, sf_dir).comparison
+
+
+@query("j12_j15_holdout_metrics")
+def j12_j15_holdout_metrics(spark, sf_dir):
+    """Best model by CV macro F1, refitted on the training period, scored on the holdout."""
+    r = _training(spark, sf_dir)
+    return spark.createDataFrame([(r.model_name, r.metrics["accuracy"], r.metrics["precision_macro"],
+                                   r.metrics["recall_macro"], r.metrics["f1_macro"])],
+                                 "model string, accuracy double, precision_macro double, "
+                                 "recall_macro double, f1_macro double")
+
+
+@query("k1_holdout_report")
+def k1_holdout_report(spark, sf_dir):
+    """Classification report of the selected model's holdout predictions (A8 export rows)."""
+    r = _training(spark, sf_dir)
+    return evaluate.classification_report(r.test_scored, "actual", "predicted")
+
+
+@query("j13_tuning")
+def j13_tuning(spark, sf_dir):
+    """Grid search over tree depth by CV macro F1 on the CV sample."""
+    from ..operators.missing import sample_rows
+    cv = sample_rows(order_facts(spark, sf_dir), KEY, 5000, salt="cv")
+    _best, table = modeling.tune("Decision Tree", cv, FEATS, KEY)
+    return table
+
+
+def _tree(spark, sf_dir):
+    def fit():
+        train, test = modeling.chronological_split(order_facts(spark, sf_dir), "o_orderdate", KEY)
+        train = cut_lineage(train)
+        chain = modeling.fit_model("Decision Tree", train, FEATS, train.count())
+        return chain, train, cut_lineage(test)
+    return _once(spark, sf_dir, "tree", fit)
+
+
+@query("k6_learning_curve")
+def k6_learning_curve(spark, sf_dir):
+    _c, train, _t = _tree(spark, sf_dir)
+    return explain.learning_curve(train, FEATS, KEY)
+
+
+@query("k7_validation_curve")
+def k7_validation_curve(spark, sf_dir):
+    _c, train, _t = _tree(spark, sf_dir)
+    return explain.validation_curve(train, FEATS, KEY)
+
+
+@query("k8_permutation_importance")
+def k8_permutation_importance(spark, sf_dir):
+    chain, _tr, test = _tree(spark, sf_dir)
+    return _once(spark, sf_dir, "perm", lambda: cut_lineage(
+        explain.permutation_importance(chain, test, FEATS, KEY)))
+
+
+@query("k9_top_importances")
+def k9_top_importances(spark, sf_dir):
+    return explain.top_importances(k8_permutation_importance(spark, sf_dir))
+
+
+@query("k10_partial_dependence")
+def k10_partial_dependence(spark, sf_dir):
+    chain, _tr, test = _tree(spark, sf_dir)
+    return explain.partial_dependence(chain, test, FEATS, KEY, positive="F")
+
+
+@query("k11_tree_importances")
+def k11_tree_importances(spark, sf_dir):
+    chain, _tr, _te = _tree(spark, sf_dir)
+    return explain.tree_importances(chain, FEATS)
+
+
+@query("e8_downstream_accuracy")
+def e8_downstream_accuracy(spark, sf_dir):
+    """Logistic-regression accuracy on a repaired (median-filled) masked order_facts."""
+    from ..operators.impute import impute
+    from ..spec import ORDER_FACTS
+    from .panels import masked_order_facts
+    rep = impute(masked_order_facts(spark, sf_dir), ORDER_FACTS.with_numeric(FEATS.numeric), "Median")
+    acc = modeling.downstream_accuracy(rep, FEATS, KEY)
+    return spark.createDataFrame([("Median", acc)], "method string, downstream_model_accuracy double")
+
+
+_ = (md5_key, cut_lineage)

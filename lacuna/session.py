@@ -54,6 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never ``localCheckpoint``."""
+    """Reliable checkpoint (survives executor loss), never ``localCheckpoint``.
+
+    The frame is cached first so that writing the checkpoint files reads the
+    cache instead of recomputing the plan a second time.
+    """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    was_cached = df.storageLevel.useMemory or df.storageLevel.useDisk
+    cached = df if was_cached else df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    if not was_cached:
+        cached.unpersist(blocking=False)
+    return out
