@@ -35,6 +35,17 @@ def exact_quantiles(df: DataFrame, cols, probs, leaf_rows: int = 50_000) -> dict
     probs = list(probs)
     if not cols:
         return {}
+    from pyspark import StorageLevel
+    # several passes follow: keep just these columns, computed once
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_quantiles(df, cols, probs, leaf_rows)
+    finally:
+        df.unpersist(blocking=False)
+
+
+def _exact_quantiles(df: DataFrame, cols, probs, leaf_rows: int) -> dict:
     counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     # Targets: (col index, 0-based order statistic) -> value
     need: dict[tuple[int, int], float | None] = {}

@@ -34,8 +34,18 @@ def hash_thresholds(df: DataFrame, hash_col: str, k_by_group: dict, n_by_group:
                     group_col: str | None = None, step: int = 4,
                     leaf_rows: int = 50_000) -> dict:
     """Return {group: hash} so that exactly k rows of each group have hash <= it."""
+    from pyspark import StorageLevel
     g = _group_expr(group_col)
-    base = df.select(g.alias("_g"), F.col(hash_col).alias("_h"))
+    base = df.select(g.alias("_g"), F.col(hash_col).alias("_h")).persist(
+        StorageLevel.MEMORY_AND_DISK)   # narrow (group, hash) pairs, read by every pass
+    try:
+        return _thresholds(base, k_by_group, n_by_group, step, leaf_rows)
+    finally:
+        base.unpersist(blocking=False)
+
+
+def _thresholds(base: DataFrame, k_by_group: dict, n_by_group: dict, step: int,
+                leaf_rows: int) -> dict:
     state = {}
     out = {}
     for grp, k in k_by_group.items():
