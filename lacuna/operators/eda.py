@@ -55,15 +55,12 @@ def histogram(df: DataFrame, col: str, bins: int = 35) -> DataFrame:
 
 def five_number_summary(df: DataFrame, value: str, by) -> DataFrame:
     """Min, q1, median, q3, max of ``value`` per category (box / violin data)."""
+    from .quantile import grouped_quantiles
     by = [by] if isinstance(by, str) else list(by)
     x = F.col(value).cast("double")
-    return df.groupBy(*by).agg(
-        F.min(x).alias("min"),
-        F.percentile(x, 0.25).alias("q1"),
-        F.percentile(x, 0.5).alias("median"),
-        F.percentile(x, 0.75).alias("q3"),
-        F.max(x).alias("max"),
-        F.count(x).alias("n"))
+    q = grouped_quantiles(df, by, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    mm = df.groupBy(*by).agg(F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("n"))
+    return mm.join(q, by, "left").select(*by, "min", "q1", "median", "q3", "max", "n")
 
 
 def mean_by(df: DataFrame, value: str, by, descending: bool = False) -> DataFrame:

@@ -92,13 +92,16 @@ def temporal_features(df: DataFrame, spec: PanelSpec, col: str, warmup_fill: boo
                        if c in tcols else F.col(c) for c in out.columns])
     if not warmup_fill:
         return out
-    return warmup_fill_medians(out, spec.group_keys, tcols)
+    from ..session import cut_lineage
+    # the fill reads the windowed table several times (group and global medians)
+    return warmup_fill_medians(cut_lineage(out), spec.group_keys, tcols)
 
 
 def warmup_fill_medians(df: DataFrame, group_keys, cols) -> DataFrame:
     """NULL -> median of the group -> median of the column (after the group fill)."""
+    from .quantile import grouped_quantiles
     group_keys = list(group_keys)
-    gmed = df.groupBy(*group_keys).agg(*[F.percentile(c, 0.5).alias(f"_gm_{c}") for c in cols])
+    gmed = grouped_quantiles(df, group_keys, list(cols), [0.5], lambda v, i: f"_gm_{v}")
     out = df.join(gmed, group_keys, "left")
     out = out.select(*[F.coalesce(F.col(c), F.col(f"_gm_{c}")).alias(c) if c in cols
                        else F.col(c) for c in df.columns])

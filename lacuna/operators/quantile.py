@@ -148,3 +148,53 @@ def medians(df: DataFrame, cols) -> dict:
 def grouped_percentile(col: str, p) -> Column:
     """Exact interpolated percentile inside ``groupBy``/window frames."""
     return F.percentile(F.col(col), p)
+
+
+def grouped_quantiles(df: DataFrame, group_cols, values, probs, names=None) -> DataFrame:
+    """Exact interpolated quantiles of one or more columns per group, by rank selection.
+
+    The columns are stacked long (group, column, value) so one distributed
+    positioning serves them all: values are positioned inside (group, column)
+    with ``rank.positions`` (range partitioned: a hot group is split across
+    tasks); for each probability the order statistics floor/ceil((n-1)p) are
+    picked against the (group, column) count and interpolated.  No per-group
+    value map, no single-task window.  One row per group; the column for
+    (value column v, i-th probability) is ``names[i]`` for a single column, else
+    ``names(v, i)`` or ``f"{v}_q{i}"``.
+    """
+    from .rank import positions
+    group_cols = list(group_cols)
+    single = isinstance(values, str)
+    values = [values] if single else list(values)
+    if names is None:
+        name_of = lambda v, i: f"{v}_q{i}"
+    elif callable(names):
+        name_of = names
+    else:
+        name_of = lambda v, i: list(names)[i]
+    long = None
+    for v in values:
+        part = df.select(*group_cols, F.lit(v).alias("_feat"), F.col(v).cast("double").alias("_x"))
+        long = part if long is None else long.unionByName(part)
+    long = long.filter(F.col("_x").isNotNull())
+    g2 = group_cols + ["_feat"]
+    cnt = long.groupBy(*g2).agg(F.count(F.lit(1)).alias("_n"))
+    pos = positions(long, g2, ["_x"], "_p")
+    j = pos.join(cnt, g2)
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        lo = F.floor(h) + 1
+        aggs.append(F.max(F.when(F.col("_p") == lo, F.col("_x"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(F.col("_p") == F.least(lo + 1, F.col("_n")), F.col("_x")))
+                    .alias(f"_hi{i}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_f{i}"))
+    sel = j.groupBy(*g2).agg(*aggs)
+    vals = sel.select(*g2, *[(F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+                             .alias(f"_q{i}") for i in range(len(probs))])
+    # every (group, column) row of ``vals`` is one group's result: fold columns back
+    keys = df.select(*group_cols).distinct()
+    wide = vals.groupBy(*group_cols).agg(*[
+        F.max(F.when(F.col("_feat") == F.lit(v), F.col(f"_q{i}"))).alias(name_of(v, i))
+        for v in values for i in range(len(probs))])
+    return keys.join(wide, group_cols, "left")
