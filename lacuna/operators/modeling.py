@@ -318,6 +318,13 @@ def downstream_accuracy(repaired: DataFrame, feats: Features, key_cols,
     return float(m["accuracy"] or 0.0)
 
 
+def save_model(chain, path: str) -> None:
+    """Persist preprocessing + model as one MLlib ``PipelineModel``."""
+    if isinstance(chain.model, SammeModel):
+        raise ValueError("the SAMME ensemble is not an MLlib model; refit to persist")
+    PipelineModel(stages=list(chain.pre.stages) + [chain.model]).write().overwrite().save(path)
+
+
 def score_batch(model_path: str, df: DataFrame) -> DataFrame:
     """Load a saved pipeline and score every row: class and max class probability."""
     from pyspark.ml.functions import vector_to_array

@@ -53,3 +53,16 @@ def test_stream_repair_matches_batch(spark, sf_small):
     assert streamed.count() == batch.count()
     assert streamed.filter(F.col("value").isNull()).count() == 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_model_save_and_batch_scoring(spark, sf_small):
+    from lacuna.operators import modeling
+    from lacuna.sources.tables import order_facts
+    feats = modeling.Features(["o_totalprice", "qty"], ["c_mktsegment"], "o_orderstatus")
+    df = order_facts(spark, sf_small)
+    chain = modeling.fit_model("Logistic Regression", df, feats, df.count())
+    path = tempfile.mkdtemp(prefix="lacuna-model-")
+    modeling.save_model(chain, path)
+    scored = modeling.score_batch(path, df)
+    assert scored.count() == df.count()
+    assert scored.filter((F.col("max_probability") < 0) | (F.col("max_probability") > 1)).count() == 0
