@@ -208,3 +208,26 @@ def a4_scored_labels_rows(spark, sf_dir):
 
 
 _ = (to_date_or_null, to_double)
+
+
+def _scratch(spark, name):
+    """A folder under the session's checkpoint dir (shared storage on a cluster)."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("a1_csv_scan", """
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS Date,
+       round(o_totalprice, 2) AS o_totalprice
+FROM orders""")
+def a1_csv_scan(spark, sf_dir):
+    """orders written as CSV (A2 sink) and read back by the A1 scan with its date contract."""
+    from ..sources import files
+    path = _scratch(spark, "orders-csv")
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("Date"), "o_totalprice")
+    files.write_table(o, path, fmt="csv")
+    df = files.load_panel_csv(spark, path, schema="o_orderkey long, Date string, o_totalprice double")
+    return df.select("o_orderkey", F.col("Date").cast("string").alias("Date"),
+                     F.round("o_totalprice", 2).alias("o_totalprice"))

@@ -269,3 +269,34 @@ def e8_downstream_accuracy(spark, sf_dir):
 
 
 _ = (md5_key, cut_lineage)
+
+
+@query("a6_a8_batch_scoring")
+def a6_a8_batch_scoring(spark, sf_dir):
+    """Fit on the training period, persist (A7), reload and score every row (A6); the
+    holdout rows carry actual and predicted class (A8 export columns)."""
+    from .q_clean import _scratch
+    train, _test = modeling.chronological_split(order_facts(spark, sf_dir), "o_orderdate", KEY)
+    train = cut_lineage(train)
+    chain = modeling.fit_model("Logistic Regression", train, FEATS, train.count())
+    path = _scratch(spark, "model")
+    modeling.save_model(chain, path)
+    scored = modeling.score_batch(path, order_facts(spark, sf_dir))
+    labels = chain.labels()
+    lab = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
+    return scored.select("o_orderkey", F.col("o_orderstatus").alias("actual"),
+                         lab.alias("predicted"), F.round("max_probability", 6).alias("max_probability"))
+
+
+@query("e_full_benchmark")
+def e_full_benchmark(spark, sf_dir):
+    """All twelve methods on the whole masked order_facts panel, with wall time per
+    method (E7) and downstream logistic-regression accuracy (E8) in the composite."""
+    from ..operators.scoring import benchmark
+    from ..spec import ORDER_FACTS
+    df = order_facts(spark, sf_dir)
+    spec = ORDER_FACTS.with_numeric(FEATS.numeric)
+    metrics, _ranked, rec, _summary = benchmark(
+        df, spec, timed=True,
+        downstream=lambda rep: modeling.downstream_accuracy(rep, FEATS, KEY))
+    return metrics.join(rec.select("feature", F.col("method").alias("recommended")), "feature")
