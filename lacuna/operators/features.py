@@ -62,23 +62,31 @@ TEMPORAL_SUFFIXES = ["Lag_1", "Growth", "Rolling_Mean_7", "Rolling_Median_7",
 
 
 def temporal_features(df: DataFrame, spec: PanelSpec, col: str, warmup_fill: bool = True,
-                      name: str | None = None) -> DataFrame:
+                      name: str | None = None, hot_rows: int | None = None) -> DataFrame:
     """G11-G16 for one column, within each series of ``spec``.
 
     lag 1; growth = pct change after forward fill (+/-inf -> NULL); rolling mean /
     median over the previous 7 rows (>= 2 known); moving average over the previous
     14 rows (>= 3 known); then warm-up gaps -> group median -> global median.
     """
+    from .series import carry_last, choose_carry, with_halo
     name = name or col
-    w = Window.partitionBy(*spec.group_keys).orderBy(*spec.ordering)
     x = F.col(col).cast("double")
-    filled = F.last(x, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    hot = bool(spec.group_keys) and choose_carry(df, spec, hot_rows)
+    if hot:
+        # a hot series: carried forward fill, then windows over slices with a
+        # 14-row halo of the preceding rows of the same series
+        base = carry_last(df, spec, {"_ff": x})
+        src = with_halo(base, spec, 14)
+        w = Window.partitionBy("_slice", *spec.group_keys).orderBy(*spec.ordering)
+    else:
+        w = Window.partitionBy(*spec.group_keys).orderBy(*spec.ordering)
+        src = df.withColumn("_ff", F.last(x, True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     prev7 = w.rowsBetween(-7, -1)
     prev14 = w.rowsBetween(-14, -1)
-    out = df.withColumn("_ff", filled)
     lag_ff = F.lag("_ff", 1).over(w)
-    out = out.select(
-        *df.columns,
+    out = src.select(
+        *df.columns, *(["_halo"] if hot else []),
         F.lag(x, 1).over(w).alias(f"{name}_Lag_1"),
         F.try_divide(F.col("_ff") - lag_ff, lag_ff).alias(f"{name}_Growth"),
         F.when(F.count(x).over(prev7) >= 2, F.avg(x).over(prev7)).alias(f"{name}_Rolling_Mean_7"),
@@ -87,6 +95,8 @@ def temporal_features(df: DataFrame, spec: PanelSpec, col: str, warmup_fill: boo
         F.when(F.count(x).over(prev14) >= 3, F.avg(x).over(prev14))
          .alias(f"{name}_Moving_Average_14"),
     )
+    if hot:
+        out = out.filter(~F.col("_halo")).drop("_halo")
     tcols = [f"{name}_{s}" for s in TEMPORAL_SUFFIXES]
     out = out.select(*[F.when(F.isnan(F.col(c)), None).otherwise(F.col(c)).alias(c)
                        if c in tcols else F.col(c) for c in out.columns])
