@@ -76,17 +76,22 @@ def validation_curve(df: DataFrame, feats: Features, key_cols, model: str = "Dec
                                        "validation_f1_macro double")
 
 
-def permute_column(df: DataFrame, col: str, key_cols, salt: str,
-                   seed: int = DEFAULT_SEED) -> DataFrame:
-    """``col`` shuffled across rows: row at md5 position i takes the value of the row at
-    position i of a second md5 order (a bijection), via two distributed rankings."""
-    a = positions(df.withColumn("_ha", md5_key(key_cols, seed, salt, "a")).withColumn("_all", F.lit(1)),
-                  ["_all"], ["_ha", *key_cols], "_pa")
+def permute_column(df: DataFrame, col: str, key_cols, salt: str, seed: int = DEFAULT_SEED,
+                   positioned: DataFrame | None = None) -> DataFrame:
+    """``col`` shuffled across rows: the row at key-order position i takes the value
+    of the row at position i of an md5 order (a bijection), via distributed positions.
+
+    ``positioned`` (``df`` with its key-order position ``_pa``) can be passed in to
+    reuse one ranking for many permutations.
+    """
+    if positioned is None:
+        positioned = positions(df.withColumn("_all", F.lit(1)), ["_all"], list(key_cols),
+                               "_pa").drop("_all")
     b = positions(df.select(*key_cols, F.col(col).alias("_v"))
-                  .withColumn("_hb", md5_key(key_cols, seed, salt, "b")).withColumn("_all", F.lit(1)),
+                  .withColumn("_hb", md5_key(key_cols, seed, salt)).withColumn("_all", F.lit(1)),
                   ["_all"], ["_hb", *key_cols], "_pb")
     vals = b.select(F.col("_pb").alias("_pa"), "_v")
-    return a.join(vals, "_pa").withColumn(col, F.col("_v")).drop("_v", "_pa", "_ha", "_all")
+    return positioned.join(vals, "_pa").withColumn(col, F.col("_v")).drop("_v", "_pa")
 
 
 def permutation_importance(chain, test: DataFrame, feats: Features, key_cols,
@@ -97,14 +102,23 @@ def permutation_importance(chain, test: DataFrame, feats: Features, key_cols,
     base = sample_rows(test, key_cols, max_rows, seed, salt="importance") if max_rows else test
     base = cut_lineage(base)
     ref = _f1(chain, base)
+    positioned = cut_lineage(positions(base.withColumn("_all", F.lit(1)), ["_all"],
+                                       list(key_cols), "_pa").drop("_all"))
+    work = [(c, r) for c in list(feats.numeric) + list(feats.categorical) for r in range(repeats)]
+
+    def one(item):
+        c, r = item
+        perm = permute_column(base, c, key_cols, f"{c}|{r}", seed, positioned)
+        return c, ref - _f1(chain, perm)
+
+    drops: dict[str, list] = {}
+    with ThreadPoolExecutor(max_workers=4) as pool:   # independent jobs, run concurrently
+        for c, d in pool.map(one, work):
+            drops.setdefault(c, []).append(d)
     rows = []
-    for c in list(feats.numeric) + list(feats.categorical):
-        drops = []
-        for r in range(repeats):
-            perm = permute_column(base, c, key_cols, f"{c}|{r}", seed)
-            drops.append(ref - _f1(chain, perm))
-        mean = sum(drops) / repeats
-        std = (sum((d - mean) ** 2 for d in drops) / repeats) ** 0.5
+    for c, ds in drops.items():
+        mean = sum(ds) / len(ds)
+        std = (sum((d - mean) ** 2 for d in ds) / len(ds)) ** 0.5
         rows.append((c, mean, std))
     out = spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
     return out.orderBy(F.col("importance_mean").desc(), "feature")
