@@ -229,7 +229,60 @@ def _order_facts_repair(method):
     return run
 
 
-query("d8_spline_interpolation")(_events_repair("Spline Interpolation"))
+_WE = "PARTITION BY user_id ORDER BY ts, event_id"
+_SGN = "(CASE WHEN k % 2 = 0 THEN 1.0 ELSE -1.0 END)"
+_SPLINE_CTES = f"""pos AS (SELECT *, CAST(row_number() OVER ({_WE}) AS DOUBLE) AS i FROM mev),
+kn AS (SELECT event_id, user_id, ts, i, value AS y,
+              row_number() OVER ({_WE}) - 1 AS k,
+              lead(i, 1) OVER ({_WE}) AS x1, lead(value, 1) OVER ({_WE}) AS y1
+       FROM pos WHERE value IS NOT NULL),
+kn2 AS (SELECT *, (y1 - y) / (x1 - i) AS s FROM kn),
+f3 AS (SELECT user_id,
+         max(CASE WHEN k = 0 THEN i END) AS a0, max(CASE WHEN k = 0 THEN y END) AS b0,
+         max(CASE WHEN k = 1 THEN i END) AS a1, max(CASE WHEN k = 1 THEN y END) AS b1,
+         max(CASE WHEN k = 2 THEN i END) AS a2, max(CASE WHEN k = 2 THEN y END) AS b2,
+         count(*) AS n3
+       FROM kn2 WHERE k <= 2 GROUP BY user_id),
+f3b AS (SELECT user_id, CASE WHEN n3 >= 3
+          THEN ((b1 - b0) / (a1 - a0) * (a2 - a0) - (b2 - b0) / (a2 - a0) * (a1 - a0)) / (a2 - a1)
+          ELSE (b1 - b0) / (a1 - a0) END AS d0 FROM f3),
+kn3 AS (SELECT kn2.*, f3b.d0,
+          coalesce(sum({_SGN} * s) OVER ({_WE} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   0.0) AS cum
+        FROM kn2 LEFT JOIN f3b USING (user_id)),
+kn4 AS (SELECT *, {_SGN} * (d0 - 2 * cum) AS d FROM kn3),
+kn5 AS (SELECT *, ((2 * s - d) - d) / (2 * (x1 - i)) AS c FROM kn4),
+pc AS (SELECT event_id,
+  CASE WHEN x1 IS NULL AND lag(i, 1) OVER ({_WE}) IS NOT NULL THEN lag(i, 1) OVER ({_WE})
+       ELSE i END AS px,
+  CASE WHEN x1 IS NULL AND lag(i, 1) OVER ({_WE}) IS NOT NULL THEN lag(y, 1) OVER ({_WE})
+       ELSE y END AS py,
+  CASE WHEN x1 IS NULL AND lag(i, 1) OVER ({_WE}) IS NOT NULL THEN lag(d, 1) OVER ({_WE})
+       WHEN x1 IS NULL THEN 0.0 ELSE d END AS pd,
+  CASE WHEN x1 IS NULL AND lag(i, 1) OVER ({_WE}) IS NOT NULL THEN lag(c, 1) OVER ({_WE})
+       WHEN x1 IS NULL THEN 0.0 ELSE c END AS pcc
+  FROM kn5),
+j AS (SELECT pos.*, pc.px, pc.py, pc.pd, pc.pcc FROM pos LEFT JOIN pc USING (event_id)),
+j2 AS (SELECT *,
+  last_value(px IGNORE NULLS) OVER ({_WE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bx,
+  last_value(py IGNORE NULLS) OVER ({_WE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS by_,
+  last_value(pd IGNORE NULLS) OVER ({_WE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bd,
+  last_value(pcc IGNORE NULLS) OVER ({_WE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bc,
+  first_value(px IGNORE NULLS) OVER ({_WE} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fx,
+  first_value(py IGNORE NULLS) OVER ({_WE} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fy,
+  first_value(pd IGNORE NULLS) OVER ({_WE} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fd,
+  first_value(pcc IGNORE NULLS) OVER ({_WE} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fc
+  FROM j),
+j3 AS (SELECT *, CASE WHEN bx IS NOT NULL THEN bx ELSE fx END AS qx,
+                 CASE WHEN bx IS NOT NULL THEN by_ ELSE fy END AS qy,
+                 CASE WHEN bx IS NOT NULL THEN bd ELSE fd END AS qd,
+                 CASE WHEN bx IS NOT NULL THEN bc ELSE fc END AS qc FROM j2)"""
+
+query("d8_spline_interpolation", _sql("""
+SELECT event_id, user_id, was_masked,
+       round(coalesce(value, qy + qd * (i - qx) + qc * (i - qx) * (i - qx),
+                      (SELECT m FROM med), 0.0), 6) AS value
+FROM j3""", _SPLINE_CTES))(_events_repair("Spline Interpolation"))
 query("d9_knn_imputer")(_order_facts_repair("KNN Imputer"))
 query("d10_iterative_mice")(_order_facts_repair("Iterative Imputer (MICE)"))
 query("d11_regression_imputation")(_order_facts_repair("Regression Imputation"))
