@@ -7,9 +7,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from lacuna.plans import catalog
 from lacuna.sources.tables import TABLES
 
-SQL = E.oracle_sql()
+# the training-data operators have their own oracle test beside their other tests
+SQL = catalog.oracle_sql()
 
 
 def _norm(v):
