@@ -19,7 +19,8 @@ SLICE_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_INK = ~_SPACE
+#: Byte classes; 0 is blank, and a word ends where the class changes.
+INK = (~_SPACE).astype(np.uint8)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -83,8 +84,12 @@ class Words:
         return mix(g[at]), at
 
 
-def words(texts: pa.Array) -> Words:
-    """Words of an Arrow string array; nulls count as empty."""
+def words(texts: pa.Array, classes: np.ndarray = INK) -> Words:
+    """Words of an Arrow string array; nulls count as empty.
+
+    ``classes`` maps bytes to classes: with more than two of them, a word is a run
+    of one class that is not 0.
+    """
     texts = texts.cast(pa.large_string())
     if texts.null_count:
         texts = pc.fill_null(texts, "")
@@ -94,10 +99,12 @@ def words(texts: pa.Array) -> Words:
     raw = np.frombuffer(data, np.uint8, hi - lo, lo) if data is not None and hi > lo \
         else np.zeros(0, np.uint8)
     at = offsets - lo if len(offsets) else np.zeros(1, np.int64)
-    ink = _INK[raw]
+    kind = classes[raw]
+    ink = kind != 0
+    turn = kind[1:] != kind[:-1]
     begin, end = ink.copy(), ink.copy()
-    begin[1:] &= ~ink[:-1]
-    end[:-1] &= ~ink[1:]
+    begin[1:] &= turn
+    end[:-1] &= turn
     inner = at[(at > 0) & (at < len(raw))]
     begin[inner] = ink[inner]
     end[inner - 1] = ink[inner - 1]
