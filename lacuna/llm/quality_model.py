@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import tables as tb
 from . import text as tx
 
 BUCKETS = 1 << 14
@@ -42,8 +42,6 @@ HIDDEN = 32
 EPOCHS = 60
 CALIBRATION_SHARE = 5  # one labelled document in so many sets the temperature
 SEED = 11
-_CHUNK = 256      # buckets in a row of a table
-_FANIN = 64       # tables that are added up by one task at the first step
 FEATURES = 2 * DIMS + 4
 
 _CLASSES = tx.INK.copy()
@@ -82,38 +80,15 @@ def add_contexts(table: np.ndarray, index: np.ndarray, b: np.ndarray, first: np.
 
 def word_vectors(docs: DataFrame, column: str = "text") -> np.ndarray:
     """Unit vectors of all buckets, from every text of the corpus."""
-    schema = "part int, chunk int, sums binary"
 
-    def rows(part: int, tables: dict[int, np.ndarray]) -> pa.RecordBatch:
-        keys = sorted(tables)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([part] * len(keys), pa.int32()), pa.array(keys, pa.int32()),
-             pa.array([tables[k].astype("<i8").tobytes() for k in keys], pa.binary())],
-            names=["part", "chunk", "sums"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         index, table = index_vectors(), np.zeros((BUCKETS, DIMS), np.int64)
         for s in tx.slices(batches, "__text", 1 << 20):
             add_contexts(table, index, *buckets_of(s.column("__text")))
-        yield rows(TaskContext.get().partitionId() % _FANIN,
-                   {k: table[k * _CHUNK:(k + 1) * _CHUNK] for k in range(BUCKETS // _CHUNK)})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for p, k, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                sums = np.frombuffer(data, "<i8")
-                total[p, k] = total[p, k] + sums if (p, k) in total else sums
-        for p in sorted({p for p, _ in total}):
-            yield rows(p, {k: v for (q, k), v in total.items() if q == p})
-
-    tables = docs.select(F.col(column).cast("string").alias("__text")).mapInArrow(count, schema)
-    some = tables.repartition("part", "chunk").mapInArrow(add, schema)
-    whole = (some.withColumn("part", F.lit(0)).repartition("chunk").mapInArrow(add, schema))
-    table = np.zeros((BUCKETS, DIMS), np.float64)
-    for r in whole.collect():  # BUCKETS * DIMS numbers
-        table[r["chunk"] * _CHUNK:(r["chunk"] + 1) * _CHUNK] = \
-            np.frombuffer(r["sums"], "<i8").reshape(-1, DIMS)
+        return table.ravel()
+
+    texts = docs.select(F.col(column).cast("string").alias("__text"))
+    table = tb.summed(texts, count, BUCKETS * DIMS).reshape(BUCKETS, DIMS).astype(np.float64)
     norm = np.sqrt((table ** 2).sum(1, keepdims=True))
     return (table / np.where(norm > 0, norm, 1)).astype(np.float32)
 

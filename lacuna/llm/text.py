@@ -71,17 +71,21 @@ class Words:
         return h
 
     def windows(self, h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all windows of ``width`` words and the word each starts at."""
-        n = len(h) - width + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        g = h[:n].copy()
-        for k in range(1, width):
-            g *= _STEP
-            g += h[k:k + n]
-        last = np.repeat(self.first[1:], self.counts)[:n]
-        at = np.flatnonzero(np.arange(n) + width <= last)
-        return mix(g[at]), at
+        return windows(h, self.first, width)
+
+
+def windows(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``width`` words inside a text and the word each starts at."""
+    n = len(h) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    g = h[:n].copy()
+    for k in range(1, width):
+        g *= _STEP
+        g += h[k:k + n]
+    last = np.repeat(first[1:], np.diff(first))[:n]
+    at = np.flatnonzero(np.arange(n) + width <= last)
+    return mix(g[at]), at
 
 
 def words(texts: pa.Array, classes: np.ndarray = INK) -> Words:
