@@ -173,15 +173,17 @@ class Network:
 
 
 def _mapped(docs: DataFrame, column: str, carried: list[str], schema: T.StructType, values):
-    """``values(features)`` of every text, beside the carried columns."""
+    """The columns to read, and a function that adds ``values(features)`` to the carried ones."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    named = f"__{column}_"
 
     def run(batches: Iterator[pa.RecordBatch], vectors) -> Iterator[pa.RecordBatch]:
-        for s in tx.slices(batches, "__text", 1 << 20):
-            made = values(pool(vectors, *buckets_of(s.column("__text"))))
+        for s in tx.slices(batches, named, 1 << 20):
+            made = values(pool(vectors, *buckets_of(s.column(named))))
             yield pa.RecordBatch.from_arrays([s.column(c) for c in carried] + made,
                                              names=schema.names)
 
-    return docs.select(*carried, F.col(column).cast("string").alias("__text")), run
+    return docs.select(*carried, text.alias(named)), run
 
 
 def features(docs: DataFrame, vectors: np.ndarray, carried: list[str],
@@ -222,11 +224,11 @@ def learn(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, key: str = "d
 
 
 def scored(docs: DataFrame, vectors: np.ndarray, net: Network, carried: list[str],
-           column: str = "text") -> DataFrame:
-    """``carried``, ``score`` and ``predicted`` of every document."""
+           column: str = "text", names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``carried``, score and prediction of every document."""
     schema = T.StructType([docs.schema[c] for c in carried]
-                          + [T.StructField("score", T.DoubleType()),
-                             T.StructField("predicted", T.IntegerType())])
+                          + [T.StructField(names[0], T.DoubleType()),
+                             T.StructField(names[1], T.IntegerType())])
     sent = docs.sparkSession.sparkContext.broadcast((vectors, net))
 
     def values(f: np.ndarray):
@@ -238,10 +240,11 @@ def scored(docs: DataFrame, vectors: np.ndarray, net: Network, carried: list[str
 
 
 def classify(docs: DataFrame, labels: DataFrame, carried: list[str], key: str = "doc_id",
-             column: str = "text") -> DataFrame:
+             column: str = "text", names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """Learn from ``docs`` and ``labels``, then score all of ``docs``."""
     vectors = word_vectors(docs, column)
-    return scored(docs, vectors, learn(docs, labels, vectors, key, column), carried, column)
+    net = learn(docs, labels, vectors, key, column)
+    return scored(docs, vectors, net, carried, column, names)
 
 
 def op2_quality_classifier(spark, sf_dir: str) -> DataFrame:

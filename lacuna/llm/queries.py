@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from . import (
-    chat_format, embedding_dedup, html_text, mixing, packing, quality_model, quality_rules,
+    chat_format, embedding_dedup, html_text, mixing, ngram_join, packing, quality_model,
+    quality_rules, substring_dedup,
 )
 
 QUERIES = {
     "op1_embedding_dedup": (embedding_dedup.op1_embedding_dedup, embedding_dedup.OP1_SQL),
     "op2_quality_classifier": (quality_model.op2_quality_classifier, None),
     "op4_source_mixing": (mixing.op4_source_mixing, mixing.OP4_SQL),
+    "op5_substring_dedup": (substring_dedup.op5_substring_dedup, substring_dedup.OP5_SQL),
     "op6_packing": (packing.op6_packing, None),
+    "op7_ngram_join": (ngram_join.op7_ngram_join, ngram_join.OP7_SQL),
     "op8_quality_rules": (quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
     "op9_html_extraction": (html_text.op9_html_extraction, None),
     "op10_chat_format": (chat_format.op10_chat_format, chat_format.OP10_SQL),
