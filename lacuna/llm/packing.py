@@ -17,8 +17,11 @@ by one.  An empty table gives no rows.  Only the id and the text are read.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,7 @@ from . import text as tx
 CAPACITY = 2048
 END_ID = 1
 #: Words whose ids a Python worker remembers.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 1_000_000
 #: Pieces of one length that are ranked together.
 RANKED_ROWS = 50_000
 
@@ -43,28 +46,62 @@ class WordIds:
 
     The tokenizer drops blanks and never joins what stands on both sides of one,
     so a text's ids are those of its words between ASCII blanks, one after the
-    other; each word is encoded by the library once.
+    other.  A word of plain Latin letters and signs is cut into parts by the
+    tokenizer's own pattern, and each new part goes through its model; any other
+    word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            steps = json.load(f)["pre_tokenizer"]["pretokenizers"]
+        whole = Tokenizer.from_file(path)
+        self.encode, self.model = whole.encode_batch_fast, whole.model.tokenize
+        self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # beyond these, normal forms and letter cases take the tokenizer's own rules;
+        # "<|" may begin a special token
+        self.other = regex.compile("[\x00-\x20\x7f-\u00a0\u0130\u0300-\U0010ffff]|<\\|").search
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            level = part if part.isascii() else self.as_bytes(part)[0][0]
+            ids = self.parts[part] = array("I", [t.id for t in self.model(level)]).tobytes()
+        return ids
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, rest = self.known, []
+        for w in words:
+            s = w.decode()
+            if self.other(s):
+                rest.append(w)
+                continue
+            s = s.lower()
+            known[w] = self._part(s) if s.isalpha() else b"".join(map(self._part, self.split(s)))
+        for lo in range(0, len(rest), 20_000):
+            part = rest[lo:lo + 20_000]
+            got = self.encode([w.decode() for w in part], add_special_tokens=False)
+            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, got))
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [(t or "").encode().split() for t in texts]
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            got = self.encode([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, got))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        if len(self.parts) > CACHED_WORDS:
+            self.parts.clear()
+        self._learn(list(set().union(*split).difference(self.known)))
+        ids = self.known.__getitem__
+        out = [b"".join(map(ids, words)) for words in split]
+        if sys.byteorder == "big":
+            out = [np.frombuffer(x, ">u4").astype("<u4").tobytes() for x in out]
+        return out
 
 
 @functools.lru_cache(maxsize=1)
