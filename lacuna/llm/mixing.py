@@ -11,9 +11,8 @@ documents that agree in their hash share what is missing in proportion.
 
 Size: words ``[^\x20\x09-\x0D]+`` of the text, 0 for a null or empty one.  Null
 sources form the last source; an empty table gives no rows.  Repeated rows have
-one hash and are taken alike.  Columns of the input other than the id, the text
-and the source are not read by ``mix``, so clashing names do no harm; ``mixed``
-carries all columns.  DataFrame functions only.
+one hash and are taken alike.  ``mix`` reads the id, the text and the source alone;
+``mixed`` carries all columns, whatever their names (its own begin with ``__``).  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -128,13 +127,14 @@ def thresholds(sized: DataFrame) -> DataFrame:
 
 
 def _with_taken(sized: DataFrame, state: DataFrame) -> DataFrame:
-    limits = _sources(state.withColumnRenamed("source", "__s"))
-    last = (F.when(F.col("__h") < F.col("limit"), F.col("__size"))
-            .when((F.col("__h") == F.col("limit")) & (F.col("tied") > 0),
-                  F.floor(F.col("rest") * F.col("__size") / F.col("tied")))
+    """Adds the source's row of ``state`` (names after ``__at_``) and ``__taken``."""
+    limits = _sources(state.select(*[F.col(c).alias(f"__at_{c}") for c in state.columns]))
+    last = (F.when(F.col("__h") < F.col("__at_limit"), F.col("__size"))
+            .when((F.col("__h") == F.col("__at_limit")) & (F.col("__at_tied") > 0),
+                  F.floor(F.col("__at_rest") * F.col("__size") / F.col("__at_tied")))
             .otherwise(F.lit(0).cast("long")))
-    return (sized.join(limits, F.col("__source").eqNullSafe(F.col("__s")))
-            .withColumn("__taken", F.col("full") * F.col("__size") + last))
+    return (sized.join(limits, F.col("__source").eqNullSafe(F.col("__at_source")))
+            .withColumn("__taken", F.col("__at_full") * F.col("__size") + last))
 
 
 def _sized(docs: DataFrame, key: str, column: str, source: str, *carry: str) -> DataFrame:
@@ -149,7 +149,8 @@ def mix(docs: DataFrame, key: str = "doc_id", column: str = "text",
     state = thresholds(narrow.select(F.col("__source").alias("source"),
                                      F.col("__size").alias("size"), F.col("__h").alias("h")))
     return _with_taken(narrow, state).select(
-        key, F.col("__size").alias("size"), "source_size", "target",
+        key, F.col("__size").alias("size"), F.col("__at_source_size").alias("source_size"),
+        F.col("__at_target").alias("target"),
         F.col("__taken").cast("long").alias("taken"))
 
 

@@ -38,7 +38,7 @@ END_ID = 1
 #: Words whose ids a Python worker remembers.
 CACHED_WORDS = 1_000_000
 #: Pieces of one length that are ranked together.
-RANKED_ROWS = 50_000
+RANKED_ROWS = 2_000
 
 
 class WordIds:

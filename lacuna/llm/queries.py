@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from . import (
-    chat_format, embedding_dedup, html_text, mixing, ngram_join, packing, quality_model,
-    quality_rules, substring_dedup,
+    chat_format, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing,
+    quality_model, quality_rules, substring_dedup,
 )
 
 QUERIES = {
     "op1_embedding_dedup": (embedding_dedup.op1_embedding_dedup, embedding_dedup.OP1_SQL),
     "op2_quality_classifier": (quality_model.op2_quality_classifier, None),
+    "op3_line_dedup": (line_dedup.op3_line_dedup, None),
     "op4_source_mixing": (mixing.op4_source_mixing, mixing.OP4_SQL),
     "op5_substring_dedup": (substring_dedup.op5_substring_dedup, substring_dedup.OP5_SQL),
     "op6_packing": (packing.op6_packing, None),
