@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -26,6 +27,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written.
+
+    Its cleaner acts on what the driver's collectors find unreachable; without a call
+    they may not run before a long query ends.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Marks a materialised frame for broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -36,15 +47,24 @@ def summed(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray
     """Sum over all tasks of the integer tables (``size`` numbers) that ``count`` returns.
 
     Tables are added as they stream past, in two steps, by as many tasks as they
-    have chunks; the driver gets one table.
+    have chunks; the driver gets one table.  A chunk travels in the smallest width that
+    holds its numbers, and not at all if they are 0.
     """
     schema = "part int, chunk int, sums binary"
 
+    def wide(data: bytes, chunk: int) -> np.ndarray:
+        n = min(_CHUNK, size - chunk * _CHUNK)
+        return np.frombuffer(data, f"<i{len(data) // n}").astype(np.int64)
+
+    def narrow(v: np.ndarray) -> bytes:
+        most = int(np.abs(v).max())
+        return v.astype(next(f"<i{b}" for b in (1, 2, 4, 8) if most < 1 << (8 * b - 1))).tobytes()
+
     def rows(part: int, chunks) -> pa.RecordBatch:
         chunks = [(k, v) for k, v in chunks if v.any()]
         return pa.RecordBatch.from_arrays(
             [pa.array([part] * len(chunks), pa.int32()), pa.array([k for k, _ in chunks], pa.int32()),
-             pa.array([v.astype("<i8").tobytes() for _, v in chunks], pa.binary())],
+             pa.array([narrow(v) for _, v in chunks], pa.binary())],
             names=["part", "chunk", "sums"])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +76,7 @@ def summed(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray
         total: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for p, k, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                sums = np.frombuffer(data, "<i8")
+                sums = wide(data, k)
                 total[p, k] = total[p, k] + sums if (p, k) in total else sums
         for p in sorted({p for p, _ in total}):
             yield rows(p, [(k, v) for (q, k), v in sorted(total.items()) if q == p])
@@ -65,7 +85,7 @@ def summed(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray
     whole = some.withColumn("part", F.lit(0)).repartition("chunk").mapInArrow(add, schema)
     out = np.zeros(size, np.int64)
     for r in whole.collect():
-        out[r["chunk"] * _CHUNK:][:_CHUNK] = np.frombuffer(r["sums"], "<i8")
+        out[r["chunk"] * _CHUNK:][:_CHUNK] = wide(r["sums"], r["chunk"])
     return out
 
 

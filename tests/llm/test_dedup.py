@@ -217,3 +217,19 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.dedup(df).count() == 0
+
+
+def test_line_dedup_hot_words(spark, monkeypatch):
+    """Words that many classes have in their prefix take the pivot and the rest."""
+    monkeypatch.setattr(line_dedup, "HOT", 3)
+    rng = np.random.default_rng(9)
+    base = [f"b{x}" for x in range(20)]
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in rng.choice(20, rng.integers(0, 5), replace=False):
+            w[k] = f"e{rng.integers(0, 40)}"
+        rows.append((i, " ".join(w) + "\n" + " ".join(rng.permutation(w)[:int(rng.integers(1, 9))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_matches(df).collect()}
+    assert got == brute_lines(rows)
