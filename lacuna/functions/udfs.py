@@ -6,12 +6,13 @@ UDF type hints must be real types for Spark to infer the UDF kind.
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
 
+from .erf import erfc
+
+
 @pandas_udf("double")
 def normal_cdf(z: pd.Series) -> pd.Series:
     """Standard normal CDF (Spark has no erf)."""
-    erfc = np.vectorize(math.erfc, otypes=[float])
     return pd.Series(0.5 * erfc(-z.to_numpy(dtype=float) / math.sqrt(2.0)), index=z.index)

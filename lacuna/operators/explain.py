@@ -28,7 +28,11 @@ def _f1(chain, df) -> float:
 def learning_curve(df: DataFrame, feats: Features, key_cols, model: str = "Decision Tree",
                    sizes=(0.25, 0.5, 0.75, 1.0), k: int = 3, max_rows: int | None = 3500,
                    seed: int = DEFAULT_SEED) -> DataFrame:
-    """K6: mean train / validation macro F1 per training size (nested md5 subsets)."""
+    """K6: mean train / validation macro F1 per training size (nested md5 subsets).
+
+    ``max_rows`` bounds the rows that models are fitted to, by cross-validation on an
+    exact md5 sample; ``None`` takes all rows.
+    """
     spark = df.sparkSession
     base = sample_rows(df, key_cols, max_rows, seed, salt="learning") if max_rows else df
     folded = stratified_folds(base, feats.label, key_cols, k, seed)
@@ -57,7 +61,10 @@ def learning_curve(df: DataFrame, feats: Features, key_cols, model: str = "Decis
 def validation_curve(df: DataFrame, feats: Features, key_cols, model: str = "Decision Tree",
                      depths=(4, 8, 12, 16), k: int = 3, max_rows: int | None = 3500,
                      seed: int = DEFAULT_SEED) -> DataFrame:
-    """K7: train / validation macro F1 over maxDepth (models with a depth only)."""
+    """K7: train / validation macro F1 over maxDepth (models with a depth only).
+
+    ``max_rows`` bounds the fitted rows as in ``learning_curve``.
+    """
     spark = df.sparkSession
     base = sample_rows(df, key_cols, max_rows, seed, salt="learning") if max_rows else df
     folded = cut_lineage(stratified_folds(base, feats.label, key_cols, k, seed))
@@ -95,9 +102,12 @@ def permute_column(df: DataFrame, col: str, key_cols, salt: str, seed: int = DEF
 
 
 def permutation_importance(chain, test: DataFrame, feats: Features, key_cols,
-                           repeats: int = 5, max_rows: int | None = 1500,
+                           repeats: int = 5, max_rows: int | None = None,
                            seed: int = DEFAULT_SEED) -> DataFrame:
-    """K8: mean / std drop of macro F1 when one feature is permuted, sorted descending."""
+    """K8: mean / std drop of macro F1 when one feature is permuted, sorted descending.
+
+    All rows of ``test`` count unless the caller asks for a sample (``max_rows``).
+    """
     spark = test.sparkSession
     base = sample_rows(test, key_cols, max_rows, seed, salt="importance") if max_rows else test
     base = cut_lineage(base)
@@ -130,12 +140,12 @@ def top_importances(imp: DataFrame, n: int = 15) -> DataFrame:
 
 
 def partial_dependence(chain, df: DataFrame, feats: Features, key_cols, positive: str,
-                       columns=None, grid: int = 100, max_rows: int | None = 1000,
+                       columns=None, grid: int = 100, max_rows: int | None = None,
                        seed: int = DEFAULT_SEED) -> DataFrame:
     """Mean predicted probability of ``positive`` with one column set to each grid value.
 
-    Grid: ``grid`` evenly spaced values between the 5th and 95th percentile.  Each
-    sampled row is replicated once per grid value (a fixed factor), never joined
+    Grid: ``grid`` evenly spaced values between the 5th and 95th percentile of all rows
+    (or of a sample of ``max_rows``, if asked for).  Each row is replicated once per grid value (a fixed factor), never joined
     to other rows.
     """
     from pyspark.ml.functions import vector_to_array

@@ -72,7 +72,7 @@ def temporal_features(df: DataFrame, spec: PanelSpec, col: str, warmup_fill: boo
     from .series import carry_last, choose_carry, with_halo
     name = name or col
     x = F.col(col).cast("double")
-    hot = bool(spec.group_keys) and choose_carry(df, spec, hot_rows)
+    hot = choose_carry(df, spec, hot_rows)
     if hot:
         # a hot series: carried forward fill, then windows over slices with a
         # 14-row halo of the preceding rows of the same series

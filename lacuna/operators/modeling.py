@@ -19,10 +19,11 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
+from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier,
+                                       GBTClassifier, LinearSVC,
                                        LogisticRegression, OneVsRest, RandomForestClassifier)
 from pyspark.ml.feature import Imputer, OneHotEncoder, RobustScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import DEFAULT_SEED, md5_key
@@ -85,7 +86,10 @@ def preprocessing_stages(feats: Features):
 
 
 def candidate_models(n_train: int, seed: int = DEFAULT_SEED) -> dict:
-    """The comparison set.  C=1 logistic regression is regParam = 1 / (C * n)."""
+    """The comparison set; its parameters are fixed values of the task.
+
+    C=1 logistic regression is regParam = 1 / (C * n).
+    """
     return {
         "Logistic Regression": lambda: LogisticRegression(
             featuresCol="features", labelCol=LABEL, maxIter=800, regParam=1.0 / max(n_train, 1),
@@ -105,24 +109,34 @@ def candidate_models(n_train: int, seed: int = DEFAULT_SEED) -> dict:
     }
 
 
+CUT_ROUNDS = 10
+SAMME_TABLE = "samme-weights"
+
+
 class SammeBoost:
-    """AdaBoost (SAMME) over weighted depth-1 MLlib trees; one Spark job per round."""
+    """AdaBoost (SAMME) over weighted depth-1 MLlib trees."""
 
     def __init__(self, n_estimators=100, learning_rate=0.6, seed=DEFAULT_SEED):
         self.n_estimators, self.lr, self.seed = n_estimators, learning_rate, seed
 
     def fit(self, df: DataFrame):
+        """One tree and one aggregate per round.
+
+        The weights' new total follows from the aggregate (the wrong rows' weight
+        grows by e^alpha), so the next round's expression normalises them; lineage is
+        cut every ``CUT_ROUNDS`` rounds.
+        """
         k = int(df.agg(F.max(LABEL)).first()[0]) + 1
-        cur = df.select("features", LABEL).withColumn("_w", F.lit(1.0))
-        cur = cut_lineage(cur)
+        cur = cut_lineage(df.select("features", LABEL).withColumn("_w", F.lit(1.0)))
         stumps = []
         for i in range(self.n_estimators):
             tree = DecisionTreeClassifier(featuresCol="features", labelCol=LABEL, weightCol="_w",
                                           maxDepth=1, seed=self.seed + i).fit(cur)
-            pred = tree.transform(cur).select("features", LABEL, "_w",
-                                              (F.col("prediction") != F.col(LABEL)).alias("_bad"))
-            r = pred.agg(F.sum(F.when(F.col("_bad"), F.col("_w"))).alias("e"), F.sum("_w").alias("t")).first()
-            err = (r["e"] or 0.0) / r["t"]
+            bad = F.col("prediction") != F.col(LABEL)
+            pred = tree.transform(cur)
+            r = pred.agg(F.sum(F.when(bad, F.col("_w"))).alias("e"), F.sum("_w").alias("t")).first()
+            wrong, total = r["e"] or 0.0, r["t"]
+            err = wrong / total
             if err <= 0:
                 stumps.append((tree, 1.0))
                 break
@@ -130,10 +144,11 @@ class SammeBoost:
                 break
             alpha = self.lr * (math.log((1 - err) / err) + math.log(k - 1))
             stumps.append((tree, alpha))
-            cur = pred.select("features", LABEL, F.when(F.col("_bad"), F.col("_w") * math.exp(alpha))
-                              .otherwise(F.col("_w")).alias("_w"))
-            total = cur.agg(F.sum("_w")).first()[0]
-            cur = cut_lineage(cur.withColumn("_w", F.col("_w") / F.lit(total)))
+            grown = total + wrong * (math.exp(alpha) - 1.0)
+            cur = pred.select("features", LABEL, (F.when(bad, F.col("_w") * math.exp(alpha))
+                                                  .otherwise(F.col("_w")) / F.lit(grown)).alias("_w"))
+            if (i + 1) % CUT_ROUNDS == 0:
+                cur = cut_lineage(cur)
         return SammeModel(stumps, k)
 
 
@@ -150,7 +165,27 @@ class SammeModel:
                 "_votes", lambda v, j: v + F.when(F.col(f"_p{i}") == j, F.lit(alpha))
                 .otherwise(F.lit(0.0)))).drop(f"_p{i}", f"_r{i}", f"_q{i}")
         best = F.array_position(F.col("_votes"), F.array_max("_votes")) - 1
-        return out.withColumn("prediction", best.cast("double")).drop("_votes")
+        total = sum(a for _, a in self.stumps) or 1.0
+        return (out.withColumn("prediction", best.cast("double"))
+                .withColumn("max_vote", F.array_max("_votes") / F.lit(total)).drop("_votes"))
+
+    def save(self, path: str, pre: PipelineModel) -> None:
+        """Preprocessing, stumps and a table of their weights below ``path``."""
+        spark = SparkSession.getActiveSession()
+        pre.write().overwrite().save(f"{path}/pre")
+        for i, (tree, _) in enumerate(self.stumps):
+            tree.write().overwrite().save(f"{path}/stump-{i}")
+        spark.createDataFrame([(i, float(a), self.k) for i, (_, a) in enumerate(self.stumps)],
+                              "stump int, alpha double, classes int").write.mode(
+            "overwrite").parquet(f"{path}/{SAMME_TABLE}")
+
+    @classmethod
+    def load(cls, path: str) -> _Chain:
+        rows = SparkSession.getActiveSession().read.parquet(f"{path}/{SAMME_TABLE}").orderBy(
+            "stump").collect()  # one row per boosting round
+        stumps = [(DecisionTreeClassificationModel.load(f"{path}/stump-{r['stump']}"), r["alpha"])
+                  for r in rows]
+        return _Chain(PipelineModel.load(f"{path}/pre"), cls(stumps, rows[0]["classes"] if rows else 1))
 
 
 def fit_model(name: str, train: DataFrame, feats: Features, n_train: int, seed=DEFAULT_SEED,
@@ -213,9 +248,10 @@ def cross_validate(df: DataFrame, feats: Features, key_cols, models=None, k: int
 
     from concurrent.futures import ThreadPoolExecutor
     rows = []
-    with ThreadPoolExecutor(max_workers=k) as pool:
-        for name in names:
-            res = list(pool.map(lambda f: one(name, f), range(k)))
+    with ThreadPoolExecutor(max_workers=2 * k) as pool:
+        found = list(pool.map(lambda w: one(*w), [(name, f) for name in names for f in range(k)]))
+        for i, name in enumerate(names):
+            res = found[i * k:(i + 1) * k]
             accs = [a for a, _ in res]
             f1s = [b for _, b in res]
             mean = sum(accs) / k
@@ -226,6 +262,7 @@ def cross_validate(df: DataFrame, feats: Features, key_cols, models=None, k: int
     return out.orderBy(F.col("cv_f1_macro_mean").desc(), "model")
 
 
+# The grids of the task.  A depth of 30, MLlib's largest, stands for "no limit".
 TUNING_GRIDS = {
     "Random Forest": {"numTrees": [120, 180, 260], "maxDepth": [8, 14, 20, 30],
                       "minInstancesPerNode": [1, 2, 4]},
@@ -247,16 +284,17 @@ def tune(name: str, df: DataFrame, feats: Features, key_cols, k: int = 3,
     if name == "Random Forest":
         combos = random.Random(seed).sample(combos, min(n_random, len(combos)))
     folded = cut_lineage(stratified_folds(df, feats.label, key_cols, k, seed))
-    rows = []
-    for params in combos:
-        f1s = []
-        for f in range(k):
-            tr = folded.filter(F.col("fold") != f)
-            chain = fit_model(name, tr, feats, tr.count(), seed, params)
-            te = folded.filter(F.col("fold") == f)
-            f1s.append(evaluate.summary_metrics(_scored(chain, te), "actual", "predicted")
-                       .first()["f1_macro"])
-        rows.append((str(params), sum(f1s) / k, params))
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+
+    def one(params, f):
+        tr, te = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
+        chain = fit_model(name, tr, feats, sum(sizes.values()) - sizes.get(f, 0), seed, params)
+        return evaluate.summary_metrics(_scored(chain, te), "actual", "predicted").first()["f1_macro"]
+
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2 * k) as pool:
+        found = list(pool.map(lambda w: one(*w), [(p, f) for p in combos for f in range(k)]))
+    rows = [(str(p), sum(found[i * k:(i + 1) * k]) / k, p) for i, p in enumerate(combos)]
     best = max(rows, key=lambda r: r[1])
     table = spark.createDataFrame([(a, b) for a, b, _ in rows],
                                   "params string, cv_f1_macro_mean double")
@@ -285,10 +323,14 @@ def train_and_evaluate(df: DataFrame, feats: Features, date_col: str, key_cols,
     comp = cross_validate(train, feats, key_cols, models, cv_rows=cv_rows, seed=seed)
     comp = cut_lineage(comp)
     best = comp.first()["model"]
-    chain = fit_model(best, train, feats, train.count(), seed)
+    # the winner's parameters are searched on the rows that it was compared on
+    sample = cut_lineage(sample_rows(train, key_cols, cv_rows, seed, salt="cv")) if cv_rows else train
+    params, tuning = tune(best, sample, feats, key_cols, seed=seed)
+    chain = fit_model(best, train, feats, train.count(), seed, params)
     scored = cut_lineage(_scored(chain, test))
     metrics = evaluate.summary_metrics(scored, "actual", "predicted").first().asDict()
-    return TrainingResult(best, chain, comp, metrics, scored, train, test, feats)
+    return TrainingResult(best, chain, comp, metrics, scored, train, test, feats,
+                          {"params": params, "tuning": tuning})
 
 
 def downstream_accuracy(repaired: DataFrame, feats: Features, key_cols,
@@ -319,17 +361,26 @@ def downstream_accuracy(repaired: DataFrame, feats: Features, key_cols,
 
 
 def save_model(chain, path: str) -> None:
-    """Persist preprocessing + model as one MLlib ``PipelineModel``."""
+    """Persist preprocessing + model as one MLlib ``PipelineModel`` (SAMME: its parts)."""
     if isinstance(chain.model, SammeModel):
-        raise ValueError("the SAMME ensemble is not an MLlib model; refit to persist")
+        chain.model.save(path, chain.pre)
+        return
     PipelineModel(stages=list(chain.pre.stages) + [chain.model]).write().overwrite().save(path)
 
 
 def score_batch(model_path: str, df: DataFrame) -> DataFrame:
     """Load a saved pipeline and score every row: class and max class probability."""
+    from pyspark.errors import AnalysisException
     from pyspark.ml.functions import vector_to_array
-    model = PipelineModel.load(model_path)
-    out = model.transform(df)
+    try:
+        df.sparkSession.read.parquet(f"{model_path}/{SAMME_TABLE}")
+    except AnalysisException:  # no such table: one pipeline
+        out = PipelineModel.load(model_path).transform(df)
+    else:
+        return SammeModel.load(model_path).transform(df).withColumnRenamed(
+            "max_vote", "max_probability")
+    if "probability" not in out.columns:  # one-vs-rest margins are no probabilities
+        return out.withColumn("max_probability", F.lit(None).cast("double"))
     return out.withColumn("max_probability", F.array_max(vector_to_array("probability")))
 
 

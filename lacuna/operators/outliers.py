@@ -137,9 +137,8 @@ def isolation_forest_scores(df: DataFrame, key_cols, cols, n_trees: int = 150,
                             sample_size: int = 256, seed: int = DEFAULT_SEED) -> DataFrame:
     """Anomaly score s = 2^(-E[h(x)] / c(psi)) per row (higher = more isolated).
 
-    Trees are grown in parallel (``groupBy(tree).applyInPandas``) on md5-chosen
-    subsamples: an md5 of the key picks each row's tree (a bounded number of
-    draws per row when the table is small); only the
+    Trees are grown in parallel (``groupBy(tree).applyInPandas``) on subsamples
+    chosen by hash: a row enters a tree at most once; only the
     per-tree subsample (<= ``sample_size`` rows) reaches a task.  The forest is
     a few thousand numbers: collected once and broadcast to the scoring tasks.
     """
@@ -153,22 +152,17 @@ def isolation_forest_scores(df: DataFrame, key_cols, cols, n_trees: int = 150,
     psi = min(sample_size, n)
     if psi < 2:
         return filled.select(*key_cols, F.lit(0.0).alias("anomaly_score"))
-    # One md5 per row picks the tree, a second its place in that tree's sample:
-    # keep a slightly oversized uniform share, then at most psi rows per tree.
-    # Small tables (n < 1.5 psi trees) give every row ``reps`` draws instead.
-    reps = max(1, math.ceil(1.5 * psi * n_trees / n))
-    src = filled
-    hkeys = list(key_cols)
-    if reps > 1:
-        src = filled.withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-        hkeys = hkeys + ["_rep"]
-    tree_of = F.conv(F.substring(md5_key(hkeys, seed, "tree"), 1, 8), 16, 10).cast("long") \
-        % F.lit(n_trees)
-    u = F.conv(F.substring(md5_key(hkeys, seed, "draw"), 1, 8), 16, 10).cast("double") \
-        / float(16 ** 8)
-    frac = min(1.0, 1.5 * psi * n_trees / (n * reps))
-    cand = src.withColumn("_u", u).filter(F.col("_u") < F.lit(frac)).withColumn("tree", tree_of)
-    w = Window.partitionBy("tree").orderBy("_u", *hkeys)   # ~1.5 psi rows per tree
+    # each row enters each tree's draw on its own, by a hash of key and tree: a slightly
+    # oversized uniform share, of which the psi smallest hashes are the sample
+    share = min(1.0, 1.5 * psi / n)
+    space = float(1 << 31)
+    trees = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
+            t.alias("tree"), F.pmod(F.xxhash64(*key_cols, F.lit(seed), t), F.lit(1 << 31)).alias("_u"))),
+        lambda x: x["_u"] < F.lit(share * space))
+    cand = filled.select("*", F.explode(trees).alias("_d")).select(
+        *filled.columns, F.col("_d.tree").alias("tree"), F.col("_d._u").alias("_u"))
+    w = Window.partitionBy("tree").orderBy("_u", *key_cols)   # ~1.5 psi rows per tree
     per_tree = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi)
     limit = int(math.ceil(math.log2(max(psi, 2))))
 

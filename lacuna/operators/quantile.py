@@ -4,10 +4,12 @@ Spark's exact ``percentile`` aggregate keeps a value -> count map per group; on
 continuous column of a 100 TB table that map is the whole column in one task.
 ``exact_quantiles`` instead brackets each needed order statistic with the
 mergeable ``percentile_approx`` sketch (bounded memory, partial aggregation),
-counts exactly how many values fall below the bracket, and refines inside the
-bracket until it holds at most ``leaf_rows`` values, which are then collected
-and read off.  Every bracket is verified by exact counts, so the result is exact
-whatever the sketch's error.  One ``agg`` pass handles every column at once.
+counts exactly how many values lie below and on its bounds, and goes on strictly
+between (or outside) them until at most ``leaf_rows`` values are left, which are
+collected and read off.  A bound that holds the rank is the answer, however
+often it occurs, so ties end a search and are never collected.  Every step is
+verified by exact counts and leaves fewer values, whatever the sketch's error.
+One ``agg`` pass handles every column at once.
 
 Grouped quantiles over low-cardinality keys use ``percentile`` in ``groupBy``
 (``grouped_percentile``); inside bounded window frames the frame is small.
@@ -45,88 +47,82 @@ def exact_quantiles(df: DataFrame, cols, probs, leaf_rows: int = 50_000) -> dict
         df.unpersist(blocking=False)
 
 
+class _Target:
+    """One order statistic that is looked for, and the open interval it is known to lie in."""
+
+    def __init__(self, col: str, rank: int, size: int):
+        self.col, self.rank, self.size = col, rank, size  # rank within the interval
+        self.above: float | None = None
+        self.below: float | None = None
+
+    def inside(self) -> Column:
+        c = F.col(self.col)
+        cond = c.isNotNull()
+        if self.above is not None:
+            cond = cond & (c > F.lit(self.above))
+        if self.below is not None:
+            cond = cond & (c < F.lit(self.below))
+        return cond
+
+
 def _exact_quantiles(df: DataFrame, cols, probs, leaf_rows: int) -> dict:
     counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    # Targets: (col index, 0-based order statistic) -> value
-    need: dict[tuple[int, int], float | None] = {}
-    for i, _ in enumerate(cols):
+    value: dict[tuple[str, int], float] = {}
+    pending: dict[tuple[str, int], _Target] = {}
+    for i, c in enumerate(cols):
         n = counts[f"n{i}"]
-        for p in probs:
-            if n:
-                a, b, _f = _ranks(n, p)
-                need[(i, a)] = None
-                need[(i, b)] = None
-    # Bracket state per target: [lo, hi, rank_within] with values x: lo <= x <= hi
-    brackets = {t: [None, None, t[1]] for t in need}
-    subset_filter: dict[tuple[int, int], Column | None] = {t: None for t in need}
-    pending = set(need)
-    rounds = 0
+        for p in probs if n else ():
+            for r in _ranks(n, p)[:2]:
+                pending[(c, r)] = _Target(c, r, n)
     while pending:
-        rounds += 1
-        # 1) how many candidates remain per target (one pass, all targets)
-        aggs = []
-        tl = sorted(pending)
-        for j, t in enumerate(tl):
-            i, _ = t
-            c = F.col(cols[i])
-            cond = c.isNotNull() if subset_filter[t] is None else subset_filter[t]
-            aggs.append(F.count_if(cond).alias(f"m{j}"))
-        sizes = df.agg(*aggs).first()
-        small = [t for j, t in enumerate(tl) if sizes[f"m{j}"] <= leaf_rows or rounds > 6]
-        big = [t for t in tl if t not in small]
-        # 2) small candidate sets: collect and read the order statistic directly
-        if small:
-            parts = []
-            for t in small:
-                i, _ = t
-                c = F.col(cols[i])
-                cond = c.isNotNull() if subset_filter[t] is None else subset_filter[t]
-                parts.append(df.filter(cond).select(F.lit(f"{t[0]}:{t[1]}").alias("t"),
-                                                    c.cast("double").alias("x")))
-            u = parts[0]
-            for p in parts[1:]:
-                u = u.unionByName(p)
-            got: dict[str, list] = {}
-            for r in u.collect():
-                got.setdefault(r["t"], []).append(r["x"])
-            for t in small:
-                vals = sorted(got.get(f"{t[0]}:{t[1]}", []))
-                need[t] = vals[brackets[t][2]]
-                pending.discard(t)
-        if not big:
+        leaves = {k: t for k, t in pending.items() if t.size <= leaf_rows}
+        if leaves:
+            # at most leaf_rows values for each order statistic, one pass for all
+            names = list(leaves)
+            hits = F.filter(F.array(*[
+                F.struct(F.lit(j).alias("j"), F.col(leaves[k].col).alias("x"),
+                         leaves[k].inside().alias("in")) for j, k in enumerate(names)]),
+                lambda s: s["in"])
+            found: dict[int, list[float]] = {}
+            for r in df.select(F.explode(hits).alias("h")).select("h.j", "h.x").collect():
+                found.setdefault(r["j"], []).append(r["x"])
+            for j, k in enumerate(names):
+                value[k] = sorted(found[j])[leaves[k].rank]
+                del pending[k]
+        if not pending:
             break
-        # 3) large candidate sets: bracket with the sketch, verify with exact counts
-        aggs = []
-        for j, t in enumerate(big):
-            i, _ = t
-            c = F.col(cols[i])
-            m = sizes[f"m{tl.index(t)}"]
-            q = brackets[t][2] / max(m - 1, 1)
-            eps = 3.0 / _ACC
-            ps = [max(0.0, q - eps), min(1.0, q + eps)]
-            src = c if subset_filter[t] is None else F.when(subset_filter[t], c)
-            aggs.append(F.percentile_approx(src.cast("double"), ps, _ACC).alias(f"b{j}"))
-        bounds = df.agg(*aggs).first()
+        # bracket each by the sketch, then count what lies below, on and above the bounds
+        names = list(pending)
+        eps = 3.0 / _ACC
+        marks = df.agg(*[
+            F.percentile_approx(F.when(t.inside(), F.col(t.col)),
+                                [max(0.0, t.rank / max(t.size - 1, 1) - eps),
+                                 min(1.0, t.rank / max(t.size - 1, 1) + eps)], _ACC).alias(f"b{j}")
+            for j, t in enumerate(pending.values())]).first()
         aggs = []
-        for j, t in enumerate(big):
-            i, _ = t
-            c = F.col(cols[i]).cast("double")
-            lo, hi = bounds[f"b{j}"]
-            base = c.isNotNull() if subset_filter[t] is None else subset_filter[t]
-            aggs.append(F.count_if(base & (c < F.lit(lo))).alias(f"lt{j}"))
-            aggs.append(F.count_if(base & (c <= F.lit(hi))).alias(f"le{j}"))
+        for j, t in enumerate(pending.values()):
+            for k, bound in enumerate(marks[f"b{j}"]):
+                c = F.col(t.col)
+                aggs += [F.count_if(t.inside() & (c < F.lit(bound))).alias(f"lt{j}_{k}"),
+                         F.count_if(t.inside() & (c <= F.lit(bound))).alias(f"le{j}_{k}")]
         cnt = df.agg(*aggs).first()
-        for j, t in enumerate(big):
-            i, _ = t
-            c = F.col(cols[i]).cast("double")
-            lo, hi = bounds[f"b{j}"]
-            r = brackets[t][2]
-            below, upto = cnt[f"lt{j}"], cnt[f"le{j}"]
-            base = c.isNotNull() if subset_filter[t] is None else subset_filter[t]
-            if below <= r < upto:  # verified: the order statistic lies in [lo, hi]
-                brackets[t][2] = r - below
-                subset_filter[t] = base & (c >= F.lit(lo)) & (c <= F.lit(hi))
-            # else keep the current candidate set; the next round retries (or collects)
+        for j, key in enumerate(names):
+            t, (lo, hi) = pending[key], marks[f"b{j}"]
+            lt_lo, le_lo = cnt[f"lt{j}_0"], cnt[f"le{j}_0"]
+            lt_hi, le_hi = cnt[f"lt{j}_1"], cnt[f"le{j}_1"]
+            # a bound itself (however often it occurs), or an interval without both bounds
+            if lt_lo <= t.rank < le_lo:
+                value[key] = lo
+            elif lt_hi <= t.rank < le_hi:
+                value[key] = hi
+            elif t.rank < lt_lo:
+                t.below, t.size = lo, lt_lo
+            elif t.rank < lt_hi:
+                t.above, t.below, t.size, t.rank = lo, hi, lt_hi - le_lo, t.rank - le_lo
+            else:
+                t.above, t.size, t.rank = hi, t.size - le_hi, t.rank - le_hi
+            if key in value:
+                del pending[key]
     out = {}
     for i, c in enumerate(cols):
         n = counts[f"n{i}"]
@@ -135,7 +131,7 @@ def _exact_quantiles(df: DataFrame, cols, probs, leaf_rows: int) -> dict:
                 out[(c, p)] = None
                 continue
             a, b, f = _ranks(n, p)
-            va, vb = need[(i, a)], need[(i, b)]
+            va, vb = value[(c, a)], value[(c, b)]
             out[(c, p)] = va + f * (vb - va) if f else va
     return out
 
@@ -153,16 +149,15 @@ def grouped_percentile(col: str, p) -> Column:
 def grouped_quantiles(df: DataFrame, group_cols, values, probs, names=None) -> DataFrame:
     """Exact interpolated quantiles of one or more columns per group, by rank selection.
 
-    The columns are stacked long (group, column, value) so one distributed
-    positioning serves them all: values are positioned inside (group, column)
-    with ``rank.positions`` (range partitioned: a hot group is split across
-    tasks); for each probability the order statistics floor/ceil((n-1)p) are
-    picked against the (group, column) count and interpolated.  No per-group
-    value map, no single-task window.  One row per group; the column for
+    The columns are stacked long (group, column, value) and counted by value, so
+    one distributed running count serves them all and a value that repeats is one
+    row: for each probability the order statistics floor/ceil((n-1)p) are the values
+    whose running counts reach them, interpolated.  No per-group value map, no
+    single-task window.  One row per group, a NULL group included; the column for
     (value column v, i-th probability) is ``names[i]`` for a single column, else
     ``names(v, i)`` or ``f"{v}_q{i}"``.
     """
-    from .rank import positions
+    from .rank import null_safe, running_counts
     group_cols = list(group_cols)
     single = isinstance(values, str)
     values = [values] if single else list(values)
@@ -179,15 +174,13 @@ def grouped_quantiles(df: DataFrame, group_cols, values, probs, names=None) -> D
     long = long.filter(F.col("_x").isNotNull())
     g2 = group_cols + ["_feat"]
     cnt = long.groupBy(*g2).agg(F.count(F.lit(1)).alias("_n"))
-    pos = positions(long, g2, ["_x"], "_p")
-    j = pos.join(cnt, g2)
+    j = null_safe(running_counts(long, g2, "_x"), cnt, g2)
     aggs = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(float(p))
-        lo = F.floor(h) + 1
-        aggs.append(F.max(F.when(F.col("_p") == lo, F.col("_x"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(F.col("_p") == F.least(lo + 1, F.col("_n")), F.col("_x")))
-                    .alias(f"_hi{i}"))
+        for name, k in (("_lo", F.floor(h)), ("_hi", F.least(F.floor(h) + 1, F.col("_n") - 1))):
+            here = (F.col("_before") <= k) & (k < F.col("_before") + F.col("_count"))
+            aggs.append(F.max(F.when(here, F.col("_x"))).alias(f"{name}{i}"))
         aggs.append(F.max(h - F.floor(h)).alias(f"_f{i}"))
     sel = j.groupBy(*g2).agg(*aggs)
     vals = sel.select(*g2, *[(F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
@@ -197,4 +190,4 @@ def grouped_quantiles(df: DataFrame, group_cols, values, probs, names=None) -> D
     wide = vals.groupBy(*group_cols).agg(*[
         F.max(F.when(F.col("_feat") == F.lit(v), F.col(f"_q{i}"))).alias(name_of(v, i))
         for v in values for i in range(len(probs))])
-    return keys.join(wide, group_cols, "left")
+    return null_safe(keys, wide, group_cols, "left")

@@ -14,8 +14,10 @@ in one task; over no partition, the whole table.  Here instead:
    partition and group) and joined back by broadcast; its size is bounded by
    partitions x groups-per-partition and checked before broadcasting.
 
-Average ranks for ties: positions are aggregated per (group, value) with
-min/max, which is a partially aggregated ``groupBy`` (map-side combine).
+Ranks and quantiles with ties work on distinct values: ``running_counts`` counts
+each (group, value) with a map-side combine and runs the same offsets over those
+counts, so a value that a third of the rows share is one row.  Group keys may be
+NULL: every join on them is NULL-safe.
 """
 
 from __future__ import annotations
@@ -33,6 +35,17 @@ def _maybe_broadcast(small: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
 
+def null_safe(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, NULL equal to NULL; ``left``'s keys are kept."""
+    on = list(on)
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c)
+                             for c in right.columns])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & left[c].eqNullSafe(renamed[f"__r_{c}"])
+    return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in on])
+
+
 def positions(df: DataFrame, group_cols, order_cols, out: str = "pos",
               num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row inside its group, ordered by ``order_cols``.
@@ -58,24 +71,43 @@ def positions(df: DataFrame, group_cols, order_cols, out: str = "pos",
                            F.lit(0)))
     offs = cut_lineage(offs.select("_pid", *g, "_off", "_first"))
     rows = offs.count()
-    joined = ranged.join(_maybe_broadcast(offs, rows), ["_pid", *g], "inner")
+    joined = null_safe(ranged, _maybe_broadcast(offs, rows), ["_pid", *g])
     return joined.withColumn(out, F.col("_off") + F.col("_loc") - F.col("_first") + 1).drop(
         "_mid", "_pid", "_loc", "_off", "_first")
 
 
+def running_counts(df: DataFrame, group_cols, value_col: str,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Per (group, value): ``_count`` rows, and ``_before`` rows of smaller values in the group."""
+    group_cols = list(group_cols)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*group_cols, value_col]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"))
+    ranged = cut_lineage(counts.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
+    total = ranged.groupBy("_pid", *group_cols).agg(F.sum("_count").alias("_t"))
+    earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offs = cut_lineage(total.select("_pid", *group_cols, F.coalesce(
+        F.sum("_t").over(earlier), F.lit(0)).alias("_off")))
+    own = Window.partitionBy("_pid", *group_cols).orderBy(value_col).rowsBetween(
+        Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_own", F.coalesce(F.sum("_count").over(own), F.lit(0)))
+    return (null_safe(local, _maybe_broadcast(offs, offs.count()), ["_pid", *group_cols])
+            .withColumn("_before", F.col("_off") + F.col("_own")).drop("_pid", "_off", "_own"))
+
+
 def average_ranks(df: DataFrame, group_cols, value_col: str, out: str = "rank",
                   num_partitions: int | None = None) -> DataFrame:
     """Average (mid) rank of ``value_col`` within each group; ties share their mean rank.
 
-    NULL values get a NULL rank and do not count.
+    NULL values get a NULL rank and do not count; a NULL group is a group.
     """
     group_cols = list(group_cols)
-    base = df.filter(F.col(value_col).isNotNull())
-    pos = positions(base.select(*group_cols, value_col), group_cols, [value_col], "_p",
-                    num_partitions)
-    avg = pos.groupBy(*group_cols, value_col).agg(
-        ((F.min("_p") + F.max("_p")) / 2.0).alias(out))
-    return df.join(avg, [*group_cols, value_col], "left")
+    base = df.filter(F.col(value_col).isNotNull()).select(*group_cols, value_col)
+    avg = cut_lineage(running_counts(base, group_cols, value_col, num_partitions).select(
+        *group_cols, value_col, (F.col("_before") + (F.col("_count") + 1) / 2.0).alias(out)))
+    return null_safe(df, avg, [*group_cols, value_col], "left")
 
 
 def tie_counts(df: DataFrame, group_cols, value_col: str) -> DataFrame:

@@ -14,8 +14,10 @@ smallest hash by radix refinement on hex prefixes:
 Each pass is one partially aggregated scan of a single narrow column, so skew in
 any other column is irrelevant and md5 spreads rows evenly over prefixes.  The
 result is a per-group threshold; ``hash <= threshold`` is a plain column
-predicate that stays in whole-stage codegen.  Requires the hashed key to be
-unique (then the hashes are distinct).  Groups are few (features, not users).
+predicate that stays in whole-stage codegen.  The hashed key must be unique where
+it matters: equal hashes below the threshold are simply all selected, but if the
+k-th and the next hash agree no threshold gives k rows, and a ``ValueError`` says
+so (refinement ends with the hash's 32 digits).  Groups are few (features, not users).
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ALL = "__all__"
+_DIGITS = 32  # of an md5 in hex
+
+
+def _not_unique(group: str) -> ValueError:
+    return ValueError(f"rows of group {group!r} share a hash at the threshold: the key is not unique")
 
 
 def _group_expr(group_col: str | None) -> Column:
@@ -56,6 +63,12 @@ def _thresholds(base: DataFrame, k_by_group: dict, n_by_group: dict, step: int,
         state[grp] = {"prefix": "", "need": min(k, n), "size": n}
     depth = 0
     while state:
+        for x, s in list(state.items()):
+            if len(s["prefix"]) >= _DIGITS:  # one hash, shared by all the rows left
+                if s["need"] < s["size"]:
+                    raise _not_unique(x)
+                out[x] = s["prefix"]
+                del state[x]
         leaves = {x: s for x, s in state.items() if s["size"] <= leaf_rows}
         if leaves:
             cond = None
@@ -67,11 +80,13 @@ def _thresholds(base: DataFrame, k_by_group: dict, n_by_group: dict, step: int,
                 got[r["_g"]].append(r["_h"])
             for x, s in leaves.items():
                 hs = sorted(got[x])
+                if s["need"] < len(hs) and hs[s["need"]] == hs[s["need"] - 1]:
+                    raise _not_unique(x)
                 out[x] = hs[s["need"] - 1]
                 del state[x]
         if not state:
             break
-        depth += step
+        depth = min(depth + step, _DIGITS)
         cond = None
         for x, s in state.items():
             c = (F.col("_g") == F.lit(x)) & F.col("_h").startswith(s["prefix"])

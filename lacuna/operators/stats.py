@@ -220,45 +220,55 @@ def chi_square(df: DataFrame, a: str, b: str, label: str | None = None) -> DataF
 # ------------------------------------------------------------------ normality
 def normality_tests(df: DataFrame, value: str, key_cols, n_max: int = 5000,
                     seed: int = DEFAULT_SEED) -> DataFrame:
-    """H1-H4 on an exact md5 sample of at most ``n_max`` values.
+    """H1-H4: normality of a column after standardising it.
 
-    Shapiro-Wilk W = (sum a_i x_(i))^2 / SS with Royston's weights; KS D against
-    N(0, 1) after standardising by the sample mean / sd (ddof 1); Anderson-Darling
-    A^2.  Positions come from ``rank.positions``; Phi is evaluated in an Arrow UDF.
+    Kolmogorov-Smirnov D and Anderson-Darling A^2 use every value, from counts of
+    distinct values and their running counts (a tie of c values after b smaller ones
+    has the ranks b+1 ... b+c, whose odd numbers sum to (b+c)^2 - b^2).  Shapiro-Wilk
+    is defined for samples: W = (sum a_i x_(i))^2 / SS with Royston's weights on an exact md5
+    sample of at most ``n_max`` values, a parameter of the test.
     """
-    spark = df.sparkSession
-    x = _num(value)
-    base = df.select(*key_cols, x.alias("x")).filter(F.col("x").isNotNull())
-    s = sample_rows(base, key_cols, n_max, seed, salt="normality")
+    from ..functions.udfs import normal_cdf as phi
     from ..session import cut_lineage
-    s = cut_lineage(s)
-    mom = s.agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.stddev_samp("x").alias("sd"),
-                F.sum("x").alias("sx")).first()
+    from .rank import running_counts
+
+    spark = df.sparkSession
+    base = df.select(*key_cols, _num(value).alias("x")).filter(F.col("x").isNotNull())
+    mom = base.agg(F.count("x").alias("n"), F.avg("x").alias("m"),
+                   F.stddev_samp("x").alias("sd")).first()
     n, mean, sd = mom["n"], mom["m"], mom["sd"]
     rows = []
     if n < 3:
         return _result(spark, rows)
-    s = s.withColumn("_all", F.lit(1))
-    pos = positions(s, ["_all"], ["x", *key_cols], "i")
-    # Shapiro-Wilk
-    a = pv.shapiro_coefficients(n)
-    coef = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(a)], "i long, a double")
-    ss = pos.agg(F.sum((F.col("x") - F.lit(mean)) ** 2).alias("ss")).first()["ss"]
-    num = pos.join(F.broadcast(coef), "i").agg(F.sum(F.col("a") * F.col("x")).alias("b")).first()["b"]
-    w = min(1.0, num * num / ss) if ss and ss > 0 else float("nan")
     label = f"Normality of {value}"
-    rows.append(("Shapiro-Wilk", label, w, pv.shapiro_p(w, n), None))
+    w, m = shapiro_wilk(cut_lineage(sample_rows(base, key_cols, n_max, seed, salt="normality")),
+                        key_cols)
+    rows.append(("Shapiro-Wilk", label, w, pv.shapiro_p(w, m), None))
     if sd and sd > 0:
-        from ..functions.udfs import normal_cdf as phi
-
-        z = pos.withColumn("z", (F.col("x") - F.lit(mean)) / F.lit(sd)).withColumn("cdf", phi("z"))
-        ks = z.agg(F.max(F.greatest(F.col("i") / F.lit(n) - F.col("cdf"),
-                                    F.col("cdf") - (F.col("i") - 1) / F.lit(n))).alias("d")).first()["d"]
-        rows.append(("Kolmogorov-Smirnov", label, ks, pv.kolmogorov_sf(ks, n), None))
-        # A^2 = -n - 1/n sum (2i-1) [ln F(z_i) + ln(1 - F(z_{n+1-i}))]
-        lo = z.select("i", F.log(F.col("cdf")).alias("lf"))
-        hi = z.select((F.lit(n + 1) - F.col("i")).alias("i"), F.log1p(-F.col("cdf")).alias("lg"))
-        a2 = lo.join(hi, "i").agg(F.sum((2 * F.col("i") - 1) * (F.col("lf") + F.col("lg")))
-                                  .alias("s")).first()["s"]
-        rows.append(("Anderson-Darling", label, -n - a2 / n, None, None))
+        z = (running_counts(base.withColumn("_all", F.lit(1)), ["_all"], "x")
+             .withColumn("z", (F.col("x") - F.lit(mean)) / F.lit(sd))
+             .select(F.col("_before").cast("double").alias("b"),
+                     F.col("_count").cast("double").alias("c"),
+                     phi("z").alias("cdf"), phi(-F.col("z")).alias("sf")))
+        upto, size = F.col("b") + F.col("c"), F.lit(float(n))
+        low = upto * upto - F.col("b") * F.col("b")
+        high = (size - F.col("b")) ** 2 - (size - upto) ** 2
+        r = z.agg(F.max(F.greatest(upto / size - F.col("cdf"), F.col("cdf") - F.col("b") / size))
+                  .alias("d"),
+                  F.sum(low * F.log("cdf") + high * F.log("sf")).alias("s")).first()
+        rows.append(("Kolmogorov-Smirnov", label, r["d"], pv.kolmogorov_sf(r["d"], n), None))
+        rows.append(("Anderson-Darling", label, -n - r["s"] / n, None, None))
     return _result(spark, rows)
+
+
+def shapiro_wilk(sample: DataFrame, key_cols) -> tuple[float, int]:
+    """W and the number of values of a materialised sample ``key_cols, x``."""
+    mom = sample.agg(F.count("x").alias("n"), F.avg("x").alias("m")).first()
+    n, mean = mom["n"], mom["m"]
+    pos = positions(sample.withColumn("_all", F.lit(1)), ["_all"], ["x", *key_cols], "i")
+    coef = sample.sparkSession.createDataFrame(
+        [(i + 1, float(v)) for i, v in enumerate(pv.shapiro_coefficients(n))], "i long, a double")
+    got = pos.join(F.broadcast(coef), "i").agg(
+        F.sum((F.col("x") - F.lit(mean)) ** 2).alias("ss"),
+        F.sum(F.col("a") * F.col("x")).alias("b")).first()
+    return (min(1.0, got["b"] ** 2 / got["ss"]) if got["ss"] and got["ss"] > 0 else float("nan")), n

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import to_date_or_null, to_double
 from ..operators import clean
 from ..operators.missing import inject_duplicates
+from ..operators.rank import positions
 from ..sources.tables import ORDER_FACTS_SQL, events_series, order_facts, read_table, \
     scored_labels
 from .catalog import query
@@ -90,9 +90,21 @@ SELECT event_id, user_id,
 FROM events""")
 def b5_series_position(spark, sf_dir):
     """Canonical order inside each series: (group, order key, row key)."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return events_series(spark, sf_dir).select(
-        "event_id", "user_id", F.row_number().over(w).alias("position"))
+    rows = events_series(spark, sf_dir).select("event_id", "user_id", "ts")
+    return positions(rows, ["user_id"], ["ts", "event_id"], "position").select(
+        "event_id", "user_id", F.col("position").cast("int").alias("position"))
+
+
+@query("b6_nonfinite_to_null", """
+SELECT event_id, CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN NULL
+                      ELSE round(value, 6) END AS value FROM events""")
+def b6_nonfinite_to_null(spark, sf_dir):
+    """Infinities and NaN become NULL; the stand-in puts some into ``events.value``."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", F.expr(
+        "CASE WHEN event_id % 7 = 0 THEN double('Infinity') WHEN event_id % 11 = 0 "
+        "THEN double('NaN') ELSE value END").alias("value"))
+    return clean.nonfinite_to_null(ev, ["value"]).select(
+        "event_id", F.round("value", 6).alias("value"))
 
 
 @query("b8_drop_incomplete", f"""

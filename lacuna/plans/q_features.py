@@ -123,6 +123,24 @@ def f1_iqr_outliers(spark, sf_dir):
                     _r("outlier_rate_pct"))
 
 
+@query("f2_isolation_forest")
+def f2_isolation_forest(spark, sf_dir):
+    """Anomaly score of every order and the flag of the most isolated 2 %."""
+    return outliers.isolation_forest_flags(order_facts(spark, sf_dir), ["o_orderkey"], NUM)
+
+
+@query("g9_holiday_indicator", OF + """
+SELECT o_orderkey, CAST(CASE WHEN month(o_orderdate) = 12 AND day(o_orderdate) = 25 THEN 1
+                             ELSE 0 END AS INTEGER) AS Holiday_Indicator FROM of""")
+def g9_holiday_indicator(spark, sf_dir):
+    """Holiday flag from a Yes / No / NULL column (the stand-in marks December 25)."""
+    day = F.to_date("o_orderdate")
+    df = order_facts(spark, sf_dir).withColumn("Holiday", F.when(
+        (F.month(day) == 12) & (F.dayofmonth(day) == 25), "Yes").when(F.month(day) > 6, "No"))
+    return features.calendar_features(df, "o_orderdate", "Holiday").select(
+        "o_orderkey", "Holiday_Indicator")
+
+
 # ------------------------------------------------------------------ I1-I10
 def _corr_sql():
     parts = []
@@ -204,6 +222,15 @@ def i7_scatter_sample(spark, sf_dir):
     return s.select("o_orderkey", _r("qty"), _r("extprice"))
 
 
+@query("i7_pair_sample", OF + f"""
+SELECT o_orderkey, {", ".join(f"round({c}, 6) AS {c}" for c in NUM)} FROM of
+ORDER BY {md5_sql(['o_orderkey'], 'scatter')} LIMIT 1200""")
+def i7_pair_sample(spark, sf_dir):
+    """The five columns of the pair plot on an exact sample (the sample is the feature)."""
+    s = eda.scatter_sample(order_facts(spark, sf_dir), ["o_orderkey"], NUM, 1200)
+    return s.select("o_orderkey", *[_r(c) for c in NUM])
+
+
 @query("i8_mean_by_group_desc", OF + """
 SELECT o_orderpriority, round(avg(o_totalprice), 6) AS mean_o_totalprice,
        CAST(count(*) AS BIGINT) AS n

@@ -214,7 +214,7 @@ def d15_policy_repair(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- model-based
-# Not SQL-expressible (iterative fits, forests, splines); checked against NumPy
+# Iterative fits and forests are not SQL-expressible; they are checked against NumPy
 # brute force on fixtures in tests/test_learned.py.  Masked order_facts: the
 # five numeric columns with extprice, qty, o_totalprice masked at 12 %.
 LEARNED_COLS = ["o_totalprice", "qty", "extprice", "n_lines", "avg_disc"]
@@ -283,7 +283,33 @@ SELECT event_id, user_id, was_masked,
        round(coalesce(value, qy + qd * (i - qx) + qc * (i - qx) * (i - qx),
                       (SELECT m FROM med), 0.0), 6) AS value
 FROM j3""", _SPLINE_CTES))(_events_repair("Spline Interpolation"))
-query("d9_knn_imputer")(_order_facts_repair("KNN Imputer"))
+
+
+def _knn_sql(k=5):
+    """All recipient-donor distances in SQL, the k smallest of each recipient."""
+    cols = LEARNED_COLS
+    ctes = [masked_order_facts(), "m AS (SELECT o_orderkey, "
+            + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols) + " FROM mof)"]
+    both = {c: f"(r.{c} IS NOT NULL AND d.{c} IS NOT NULL)" for c in cols}
+    square = " + ".join(f"CASE WHEN {both[c]} THEN (r.{c} - d.{c}) * (r.{c} - d.{c}) ELSE 0.0 END"
+                        for c in cols)
+    seen = " + ".join(f"CAST({both[c]} AS INTEGER)" for c in cols)
+    for t in cols:
+        ctes.append(f"""k_{t} AS (SELECT rk, CASE WHEN count(*) FILTER (WHERE dist = 0) > 0
+    THEN sum(v) FILTER (WHERE dist = 0) / count(*) FILTER (WHERE dist = 0)
+    ELSE sum(v / nullif(dist, 0)) / sum(1.0::DOUBLE / nullif(dist, 0)) END AS v
+  FROM (SELECT rk, v, dist, row_number() OVER (PARTITION BY rk ORDER BY dist, dk) AS rn FROM (
+    SELECT r.o_orderkey AS rk, d.o_orderkey AS dk, d.{t} AS v,
+           sqrt(CAST({len(cols)} AS DOUBLE) / nullif({seen}, 0) * ({square})) AS dist
+    FROM m r, m d WHERE r.{t} IS NULL AND d.{t} IS NOT NULL) WHERE dist IS NOT NULL)
+  WHERE rn <= {k} GROUP BY rk)""")
+    fills = ", ".join(f"round(coalesce(m.{c}, k_{c}.v, (SELECT avg({c}) FROM m)), 6) AS {c}"
+                      for c in cols)
+    joins = " ".join(f"LEFT JOIN k_{c} ON k_{c}.rk = m.o_orderkey" for c in cols)
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT m.o_orderkey, {fills} FROM m {joins}"
+
+
+query("d9_knn_imputer", _knn_sql())(_order_facts_repair("KNN Imputer"))
 query("d10_iterative_mice")(_order_facts_repair("Iterative Imputer (MICE)"))
 query("d11_regression_imputation")(_order_facts_repair("Regression Imputation"))
 query("d12_random_forest_imputation")(_order_facts_repair("Random Forest Imputation"))

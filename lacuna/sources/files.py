@@ -23,7 +23,7 @@ def load_panel_csv(spark: SparkSession, path: str, date_col: str = "Date", schem
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
     df = reader.csv(path)
     if date_col not in df.columns:
-        raise ContractError(f"Required column '{date_col}' is missing.")
+        raise ContractError(f"{path}: no date column {date_col!r} among {df.columns}")
     df = df.withColumn(date_col, to_date_or_null(date_col, date_format))
     check_contract(df, required=[date_col], date_cols=[date_col])
     return df
