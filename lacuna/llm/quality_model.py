@@ -174,8 +174,8 @@ class Network:
 
 def _mapped(docs: DataFrame, column: str, carried: list[str], schema: T.StructType, values):
     """The columns to read, and a function that adds ``values(features)`` to the carried ones."""
-    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
-    named = f"__{column}_"
+    # a text that is carried goes to the tasks once
+    named = column if column in carried and dict(docs.dtypes)[column] == "string" else f"__{column}_"
 
     def run(batches: Iterator[pa.RecordBatch], vectors) -> Iterator[pa.RecordBatch]:
         for s in tx.slices(batches, named, 1 << 20):
@@ -183,7 +183,8 @@ def _mapped(docs: DataFrame, column: str, carried: list[str], schema: T.StructTy
             yield pa.RecordBatch.from_arrays([s.column(c) for c in carried] + made,
                                              names=schema.names)
 
-    return docs.select(*carried, text.alias(named)), run
+    text = [] if named in carried else [F.col(column).cast("string").alias(named)]
+    return docs.select(*carried, *text), run
 
 
 def features(docs: DataFrame, vectors: np.ndarray, carried: list[str],

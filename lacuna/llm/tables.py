@@ -107,7 +107,7 @@ def in_bitmap(bits: np.ndarray, g: np.ndarray) -> np.ndarray:
 
 
 def list_slices(batches: Iterator[pa.RecordBatch], column: str,
-                most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+                most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``most`` entries of a list column."""
     for batch in batches:
         if not batch.num_rows:
