@@ -24,7 +24,16 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def remove(table: DataFrame) -> None:
+    """Removes the files of a ``written`` table that nothing reads any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
