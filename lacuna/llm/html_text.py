@@ -34,12 +34,14 @@ from . import text as tx
 # --- fixed values of the classifier -------------------------------------------------
 BIAS = 0.4
 #: Evidence of an element for the text inside it, by tag; the nearest ``RESET`` tag
-#: forgets what stood above it.
+#: forgets what stood above it, but for the noise of the ``KEPT_TAGS``, of hidden elements
+#: and of elements named after a part of the page (``_names_part``).
 TAG_WEIGHT = {"article": 4.0, "main": 4.0, "nav": -9.0, "footer": -9.0, "aside": -9.0,
               "form": -9.0, "header": -5.0, "menu": -9.0, "dialog": -9.0, "address": -1.0,
               "button": -9.0, "label": -6.0, "fieldset": -9.0, "legend": -6.0,
               "blockquote": 0.5, "pre": 0.5, "figcaption": 0.5, "h1": 1.0, "h2": 0.5, "p": 1.0}
 RESET = {"article", "main"}
+KEPT_TAGS = {"nav", "footer", "aside", "menu", "dialog"}
 #: Words of class, id and role attributes that mark what is not the article.
 NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsbygoogle banner
     sponsor sponsored sponsors promo promotion promoted sidebar aside menu nav navbar navigation
@@ -49,6 +51,17 @@ NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsby
     commentlist disqus respond reply replies complementary contentinfo dialog toolbar tags
     copyright legal disclaimer hidden skip""".split())
 NOISE_WEIGHT = -9.0
+#: Noise words that name what a text is about as often as a part of the page.
+TOPICS = frozenset("search legal notice notices alert".split())
+PART_WORDS = NOISE_WORDS - TOPICS
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Words beside a noise word in the name of a part of the page; numbers and letters likewise.
+FURNITURE = frozenset("""posts post articles article stories story entry entries content body text
+    card cards teaser teasers tile item items list box boxes button buttons bar block container
+    wrapper wrap inner outer panel slot unit area section thread links icons title""".split())
+#: Words of names that tell of the page or its subject, not of the element.
+LAYOUT = frozenset("""has with without no not layout open closed enabled disabled category tag
+    topic type format status""".split())
 GOOD_WORDS = frozenset("article content post entry story main body text".split())
 GOOD_WEIGHT = 1.5
 LINK_WEIGHT = -5.0        # times the share of letters inside links
@@ -86,32 +99,59 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "depth", "parent", "weight", "skip", "link")
+    __slots__ = ("tag", "depth", "parent", "weight", "noise", "skip", "link")
 
-    def __init__(self, tag, parent, weight, skip, link):
+    def __init__(self, tag, parent, weight, skip, link, noise=0.0):
         self.tag, self.parent, self.weight = tag, parent, weight
         self.skip, self.link = skip, link
+        self.noise = noise  # what a RESET tag below keeps
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _evidence(tag: str, attrs: str, parent: _Node) -> float:
-    above = 0.0 if tag in RESET else parent.weight
+def _parts(name: str) -> set[str]:
+    return {p.lower() for p in _PART.findall(name)}
+
+
+def _names_part(parts: set[str], slug: bool) -> bool:
+    """Whether a class or role, or an id (``slug``), as a whole names a part of the page."""
+    found = parts & PART_WORDS
+    if not found or parts & LAYOUT:
+        return False
+    if not slug and parts & COMMENTS:
+        return True
+    rest = {p for p in parts - found - FURNITURE if len(p) > 1 and not p.isdigit()}
+    return not rest and not ("sidebar" in parts and "content" in parts)
+
+
+def _evidence(tag: str, attrs: str, parent: _Node) -> tuple[float, float]:
+    """Weight, and the noise in it that RESET tags keep."""
+    above = parent.noise if tag in RESET else parent.weight
     own = TAG_WEIGHT.get(tag, 0.0)
+    kept = own if tag in KEPT_TAGS else 0.0
     if tag == "header" and parent.weight > 0:
         own = 0.0  # the head of an article, not of the page
     if attrs and tag not in ("html", "body"):
-        for m in _ATTR.finditer(attrs):
-            name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        found = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)]
+        for name, value in found:
             if name in ("class", "id", "role"):
-                parts = {p.lower() for p in _PART.findall(value)}
-                if parts & NOISE_WORDS and tag not in RESET:
+                names = [_parts(v) for v in value.split()]
+                noise = [p for p in names if p & NOISE_WORDS]
+                part = any(_names_part(p, name == "id") for p in noise)
+                if part or noise and tag not in RESET:
                     own += NOISE_WEIGHT
-                elif parts & GOOD_WORDS:
+                elif any(p & GOOD_WORDS for p in names):
                     own += GOOD_WEIGHT
+                if part:
+                    kept += NOISE_WEIGHT
             elif (name == "hidden" or name == "aria-hidden" and value.lower() == "true"
                   or name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
                 own += NOISE_WEIGHT
-    return above + own
+                kept += NOISE_WEIGHT
+    if tag not in RESET:
+        return above + own, parent.noise + kept
+    if above + kept < 0:
+        own = min(0.0, own - TAG_WEIGHT[tag])  # of no more use than another element there
+    return above + own, above + kept
 
 
 def blocks(page: str) -> list[tuple[str, _Node, int]]:
@@ -170,8 +210,8 @@ def blocks(page: str) -> list[tuple[str, _Node, int]]:
                 n = n.parent
             if n.tag in shut:
                 node = n.parent
-        node = _Node(tag, node, _evidence(tag, m[3], node), node.skip or tag in SKIPPED,
-                     node.link or tag == "a")
+        weight, noise = _evidence(tag, m[3], node)
+        node = _Node(tag, node, weight, node.skip or tag in SKIPPED, node.link or tag == "a", noise)
         if tag == "body":
             node.skip = False  # a head that was never closed
     flush()

@@ -181,6 +181,38 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+STORY = "<article><h1>Head</h1><p>The story is told here, in full.</p>{}</article>"
+TOLD = "Head The story is told here, in full."
+NESTED = [
+    f"{{}}<section id='comments'><article {a}><div class='text'><p>Nice post, thanks a lot for all of "
+    "it!</p></div></article></section>" for a in ("", "class='comment'", "id='comment-12'")] + [
+    "{}<aside class='related'><article class='card'><p>Other posts you may like.</p></article></aside>",
+    "{}<div class='related-posts'><article class='card'><p>Other posts, read them.</p></article></div>",
+    "<main>{}<section id='related'><article><p>Other posts you may like.</p></article></section></main>",
+    "{}<article class='comment'><p>Nice post.</p><article class='reply'><p>Yes.</p></article></article>",
+    "<nav><article><p>Pick one of these.</p></article></nav>{}",
+    "{}<footer><main><p>Who we are and where.</p></main></footer>",
+]
+
+
+@pytest.mark.parametrize("page", NESTED)
+def test_noise_in_nested_articles(page):
+    assert html_text.main_text(page.format(STORY.format(""))) == TOLD
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='has-sidebar'>{}</div>", "<div class='content-sidebar-wrap'><main>{}</main></div>",
+    "<form id='aspnetForm'><main>{}</main></form>", "<div class='sidebar-right'><main>{}</main></div>",
+    "<main class='with-sidebar'>{}</main>"])
+def test_wrappers_of_the_article(page):
+    assert html_text.main_text(page.format(STORY.format(""))) == TOLD
+
+
+def test_classes_of_the_article():
+    page = "<article id='search' class='post category-social tag-legal comments-open'><p>All here.</p>"
+    assert html_text.main_text(page) == "All here."
+
+
 def test_min_cut_equals_all_labellings():
     rng = np.random.default_rng(7)
     for _ in range(60):
