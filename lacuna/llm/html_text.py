@@ -55,13 +55,22 @@ NOISE_WEIGHT = -9.0
 TOPICS = frozenset("search legal notice notices alert".split())
 PART_WORDS = NOISE_WORDS - TOPICS
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Ids of sections of an article that are no topic of it.
+PLACES = frozenset("""comments commentlist disqus respond sidebar breadcrumbs navbar adsbygoogle
+    pagination pager""".split())
 #: Words beside a noise word in the name of a part of the page; numbers and letters likewise.
 FURNITURE = frozenset("""posts post articles article stories story entry entries content body text
     card cards teaser teasers tile item items list box boxes button buttons bar block container
     wrapper wrap inner outer panel slot unit area section thread links icons title""".split())
+#: The same beside a word of ``COMMENTS`` or ``PLACES``.
+SIDES = frozenset("""left right top bottom above below site page reader readers user users
+    facebook fb wp""".split())
 #: Words of names that tell of the page or its subject, not of the element.
 LAYOUT = frozenset("""has with without no not layout open closed enabled disabled category tag
     topic type format status""".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Of a name inside an article that may be its topic; the share of links adds ``NOISE_WEIGHT``.
+SOFT_WEIGHT = -1.0
 GOOD_WORDS = frozenset("article content post entry story main body text".split())
 GOOD_WEIGHT = 1.5
 LINK_WEIGHT = -5.0        # times the share of letters inside links
@@ -99,12 +108,13 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "depth", "parent", "weight", "noise", "skip", "link")
+    __slots__ = ("tag", "depth", "parent", "weight", "noise", "soft", "inside", "skip", "link")
 
-    def __init__(self, tag, parent, weight, skip, link, noise=0.0):
+    def __init__(self, tag, parent, weight, skip, link, noise=0.0, soft=False, inside=False):
         self.tag, self.parent, self.weight = tag, parent, weight
         self.skip, self.link = skip, link
-        self.noise = noise  # what a RESET tag below keeps
+        #: what a RESET tag below keeps; under a doubtful name; in an article or main
+        self.noise, self.soft, self.inside = noise, soft, inside
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -120,38 +130,60 @@ def _names_part(parts: set[str], slug: bool) -> bool:
     if not slug and parts & COMMENTS:
         return True
     rest = {p for p in parts - found - FURNITURE if len(p) > 1 and not p.isdigit()}
+    if slug and found & (COMMENTS | PLACES):
+        rest -= SIDES
     return not rest and not ("sidebar" in parts and "content" in parts)
 
 
-def _evidence(tag: str, attrs: str, parent: _Node) -> tuple[float, float]:
-    """Weight, and the noise in it that RESET tags keep."""
+def _words_noise(tag: str, name: str, parts: set[str], inside: bool, section: bool) -> bool:
+    """Whether a class, role or id with a noise word marks noise beyond doubt."""
+    if name != "id":
+        if tag in RESET:
+            return _names_part(parts, False)
+        if name == "role":
+            return not inside or parts != {"alert"}
+        return not inside or bool(parts & PART_WORDS) and not parts & LAYOUT
+    if tag in HEADINGS:
+        return False  # its anchor
+    if tag not in RESET and not inside:
+        return True
+    if not section or parts & NOISE_WORDS <= PLACES:
+        return _names_part(parts, True)
+    return _names_part(parts, True) and not parts <= NOISE_WORDS
+
+
+def _evidence(tag: str, attrs: str, parent: _Node) -> tuple[float, float, bool, bool]:
+    """Weight, the noise in it that RESET tags keep, whether a name is in doubt, and ``inside``."""
     above = parent.noise if tag in RESET else parent.weight
     own = TAG_WEIGHT.get(tag, 0.0)
-    kept = own if tag in KEPT_TAGS else 0.0
+    kept, soft = own if tag in KEPT_TAGS else 0.0, False
     if tag == "header" and parent.weight > 0:
         own = 0.0  # the head of an article, not of the page
     if attrs and tag not in ("html", "body"):
         found = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)]
+        section = tag not in ("div", *RESET) or any(
+            n == "class" and "section" in _parts(v) for n, v in found)
         for name, value in found:
             if name in ("class", "id", "role"):
                 names = [_parts(v) for v in value.split()]
                 noise = [p for p in names if p & NOISE_WORDS]
-                part = any(_names_part(p, name == "id") for p in noise)
-                if part or noise and tag not in RESET:
+                if any(_words_noise(tag, name, p, parent.inside, section) for p in noise):
                     own += NOISE_WEIGHT
+                elif noise and tag not in RESET:
+                    soft = True
                 elif any(p & GOOD_WORDS for p in names):
                     own += GOOD_WEIGHT
-                if part:
+                if tag not in HEADINGS and any(_names_part(p, name == "id") for p in noise):
                     kept += NOISE_WEIGHT
             elif (name == "hidden" or name == "aria-hidden" and value.lower() == "true"
                   or name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
                 own += NOISE_WEIGHT
                 kept += NOISE_WEIGHT
     if tag not in RESET:
-        return above + own, parent.noise + kept
+        return above + own, parent.noise + kept, parent.soft or soft, parent.inside
     if above + kept < 0:
         own = min(0.0, own - TAG_WEIGHT[tag])  # of no more use than another element there
-    return above + own, above + kept
+    return above + own, above + kept, soft, True
 
 
 def blocks(page: str) -> list[tuple[str, _Node, int]]:
@@ -210,8 +242,8 @@ def blocks(page: str) -> list[tuple[str, _Node, int]]:
                 n = n.parent
             if n.tag in shut:
                 node = n.parent
-        weight, noise = _evidence(tag, m[3], node)
-        node = _Node(tag, node, weight, node.skip or tag in SKIPPED, node.link or tag == "a", noise)
+        weight, *marks = _evidence(tag, m[3], node)
+        node = _Node(tag, node, weight, node.skip or tag in SKIPPED, node.link or tag == "a", *marks)
         if tag == "body":
             node.skip = False  # a head that was never closed
     flush()
@@ -221,7 +253,10 @@ def blocks(page: str) -> list[tuple[str, _Node, int]]:
 def score(text: str, node: _Node, linked: int) -> float:
     """Log-odds that a block is content."""
     letters = sum(map(str.isalnum, text)) if linked else 1
-    s = BIAS + node.weight + LINK_WEIGHT * min(1.0, linked / max(1, letters))
+    share = min(1.0, linked / max(1, letters))
+    s = BIAS + node.weight + LINK_WEIGHT * share
+    if node.soft:
+        s += SOFT_WEIGHT + NOISE_WEIGHT * share
     s += min(LENGTH_MOST, LENGTH_WEIGHT * math.log1p(text.count(" ") + 1))
     if text[-1] in ".!?…\"'”":
         s += SENTENCE_WEIGHT

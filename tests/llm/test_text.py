@@ -213,6 +213,28 @@ def test_classes_of_the_article():
     assert html_text.main_text(page) == "All here."
 
 
+@pytest.mark.parametrize("open_,close", [
+    ("<h2 id='related-work'>", "</h2>"), ("<section id='search'><p>", "</p></section>"),
+    ("<div id='notice-period'><p>", "</p></div>"), ("<p class='legal'>", "</p>"),
+    ("<section id='related-work'><div id='search'><p>", "</p></div></section>"),
+    ("<section id='sharing'><h3 id='comments'>", "</h3></section>"),
+    ("<div class='section' id='advertising'><p>", "</p></div>")])
+def test_slugs_inside_the_article(open_, close):
+    part = f"{open_}What others found{close}"
+    assert html_text.main_text(STORY.format(part)) == TOLD + " What others found"
+
+
+@pytest.mark.parametrize("part", [
+    "<div id='related-posts'><p>Other posts, read them.</p></div>", "<div id='share'>Share this</div>",
+    "<section id='related'><ul><li><a href=x>Another post</a></li></ul></section>",
+    "<section id='reader-comments'><p>Nice post, thanks!</p></section>",
+    "<section role='search'><p>Find more posts here.</p></section>",
+    "<div class='share-buttons'>Share this</div>", "<div id='disqus_thread'>Loading comments.</div>",
+    "<section id='comments'><p>Nice post, thanks a lot!</p></section>"])
+def test_noise_inside_the_article(part):
+    assert html_text.main_text(STORY.format(part + "<p>It goes on.</p>")) == TOLD + " It goes on."
+
+
 def test_min_cut_equals_all_labellings():
     rng = np.random.default_rng(7)
     for _ in range(60):
