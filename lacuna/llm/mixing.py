@@ -8,6 +8,8 @@ bucket in which the running sum crosses the budget, and the same again inside
 that bucket alone, until the crossing hash is known (``SHIFTS``).  The document
 there gives just the words still missing, so a source meets its target to a word;
 documents that agree in their hash share what is missing in proportion.
+``mixed_whole`` cuts no text: documents that agree in their hash go by a second
+one, of id and text, and the last one is taken whole if that comes nearer.
 
 Size: words ``[^\x20\x09-\x0D]+`` of the text, 0 for a null or empty one.  Null
 sources form the last source; an empty table gives no rows.  Repeated rows have
@@ -98,9 +100,15 @@ def thresholds(sized: DataFrame) -> DataFrame:
         "source", "source_size", "target",
         ((F.col("source_size") > 0) & (F.col("target") >= F.col("source_size")))
         .cast("long").alias("full"))
+    return _crossings(sized, state.select(
+        "*", (F.floor("target") - F.col("full") * F.col("source_size")).alias("rest")))
+
+
+def _crossings(sized: DataFrame, state: DataFrame) -> DataFrame:
+    """Adds ``limit`` and ``tied`` of the budget ``rest`` of each source, and makes ``rest`` what is left."""
+    kept = [c for c in state.columns if c != "rest"]
     state = cut_lineage(state.select(
-        "*", F.lit(0).cast("long").alias("limit"), F.lit(0).cast("long").alias("tied"),
-        (F.floor("target") - F.col("full") * F.col("source_size")).alias("rest")))
+        *kept, F.lit(0).cast("long").alias("limit"), F.lit(0).cast("long").alias("tied"), "rest"))
     above = HASH_BITS
     for shift in SHIFTS:
         inside = _sources(state.select(F.col("source").alias("s"), F.col("limit").alias("open"),
@@ -118,8 +126,7 @@ def thresholds(sized: DataFrame) -> DataFrame:
         # no crossing: all of the pass is taken, up to the end of the hashes
         state = cut_lineage(
             state.join(crossing, F.col("source").eqNullSafe(F.col("s")), "left").select(
-                "source", "source_size", "target", "full",
-                F.coalesce("x.bucket", F.lit(1 << (HASH_BITS - shift)).cast("long")).alias("limit"),
+                *kept, F.coalesce("x.bucket", F.lit(1 << (HASH_BITS - shift)).cast("long")).alias("limit"),
                 F.coalesce("x.words", F.lit(0).cast("long")).alias("tied"),
                 F.coalesce("x.rest", F.lit(0).cast("long")).alias("rest")))
         above = shift
@@ -176,6 +183,43 @@ def mixed(docs: DataFrame, key: str = "doc_id", column: str = "text",
     return rows.withColumn(column, text).select(*docs.columns)
 
 
+def _second_hash(key: str, column: str) -> Column:
+    """60 bits of the md5 of id and text."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    whole = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("\n"), text)
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def mixed_whole(docs: DataFrame, key: str = "doc_id", column: str = "text",
+                source: str = "source") -> DataFrame:
+    """The mix in whole documents, all columns: one row for each pass that takes a document.
+
+    A source misses its target by at most half of the document on the threshold.  Rows
+    of one id and text are taken alike.
+    """
+    rows = _sized(docs, key, column, source, *docs.columns)
+    state = thresholds(_sized(docs, key, column, source).select(
+        F.col("__source").alias("source"), F.col("__size").alias("size"),
+        F.col("__h").alias("h")))
+    limits = _sources(state.select(*[F.col(c).alias(f"__at_{c}") for c in ("source", "full", "limit")]))
+    of_source = F.col("__source").eqNullSafe(F.col("__at_source"))
+    tied = cut_lineage(rows.join(limits, of_source).where("__h = __at_limit").select(
+        F.col("__source").alias("source"), F.col("__size").alias("size"),
+        _second_hash(key, column).alias("h")))
+    state = _crossings(tied, state.select("source", "full", F.col("limit").alias("first"), "rest"))
+    limits = _sources(state.select(*[F.col(c).alias(f"__at_{c}") for c in state.columns]))
+    second = F.col("__second")
+    near = (second < F.col("__at_limit")) | (
+        (second == F.col("__at_limit")) & (2 * F.col("__at_rest") >= F.col("__at_tied")))
+    rows = rows.join(limits, of_source).where("__size > 0")
+    rows = rows.withColumn("__second", F.when(F.col("__h") == F.col("__at_first"),
+                                              _second_hash(key, column)))
+    last = (F.col("__h") < F.col("__at_first")) | F.coalesce(near, F.lit(False))
+    rows = rows.withColumn("__passes", F.col("__at_full") + last.cast("long")).where("__passes > 0")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__passes"))).alias("__pass")
+    return rows.select(*docs.columns, each).select(*docs.columns)
+
+
 def op4_source_mixing(spark, sf_dir: str) -> DataFrame:
     """Mix all documents; see the module text for ties and empty texts."""
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))

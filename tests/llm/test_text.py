@@ -1,6 +1,7 @@
 """Classifier, rules, mixing, packing, pages and chat on small inputs."""
 
 import functools
+import hashlib
 import os
 import zlib
 
@@ -67,6 +68,59 @@ def test_mix_meets_its_targets(spark, odd_docs):
     assert words == sum(r["taken"] for r in got)
 
 
+def whole_mix(rows, targets):
+    """(id, text, source) of the mix in whole documents; ``targets`` by source: its size and target."""
+    def h(s):
+        return int(hashlib.md5(s.encode()).hexdigest()[:15], 16)
+
+    out = []
+    for source, (size, target) in targets.items():
+        full = int(size > 0 and target >= size)
+        rest, groups = int(target) - full * size, {}
+        for r in rows:
+            if r[2] == source and words_of(r[1]):
+                i = "" if r[0] is None else str(r[0])
+                groups.setdefault((h(i), h(f"{i}\n{r[1]}")), []).append(r)
+        for at in sorted(groups):
+            out += groups[at] * full
+            n = sum(map(words_of, (r[1] for r in groups[at])))
+            if rest > 0 and 2 * rest >= n:
+                out += groups[at]
+            rest = rest - n if rest >= n else 0
+    return sorted(out, key=str)
+
+
+def words_of(text):
+    return len((text or "").encode().split())
+
+
+def whole_targets(rows, docs):
+    by_id = {(r[0], words_of(r[1])): r[2] for r in rows}
+    return {by_id[r["doc_id"], r["size"]]: (r["source_size"], r["target"])
+            for r in mixing.mix(docs).collect()}
+
+
+def test_whole_mix_cuts_no_text(spark, odd_docs, odd_rows):
+    mixed = mixing.mixed_whole(odd_docs)
+    assert mixed.columns == odd_docs.columns
+    got = sorted(((r["doc_id"], r["text"], r["source"]) for r in mixed.collect()), key=str)
+    assert got == whole_mix(odd_rows, whole_targets(odd_rows, odd_docs))
+
+
+def test_whole_mix_of_null_ids(spark):
+    rows = [(None, " ".join(f"w{i}" for _ in range(1 + i % 5)) + f" e{i}", s)
+            for s in "abc" for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted((tuple(r) for r in mixing.mixed_whole(df).collect()), key=str)
+    sizes = {s: sum(words_of(t) for _, t, x in rows if x == s) for s in "abc"}
+    target = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(
+        list(sizes.items()), "source string, source_size long")).collect()}
+    assert got == whole_mix(rows, {s: (sizes[s], target[s]) for s in "abc"})
+    for s in "abc":
+        assert abs(sum(words_of(t) for _, t, x in got if x == s) - target[s]) <= 4
+    assert mixing.mixed_whole(df.limit(0)).count() == 0
+
+
 # ------------------------------------------------------------------ packing
 @functools.cache
 def tokenizer():
