@@ -1,8 +1,8 @@
 """A quality classifier on random-indexing word vectors.
 
 1. Words (runs of letters and digits, runs of signs) fall into ``BUCKETS`` hash
-   buckets.  Each bucket has a fixed sparse index vector of -1, 0 and 1; a word's
-   vector is the sum of the index vectors of all words near its occurrences in the
+   buckets; the words of a bucket share their vectors (README: what that costs).
+   Each bucket has a fixed sparse index vector of -1, 0 and 1; its vector is the sum of the index vectors of all words near its words' occurrences in the
    whole corpus.  Every task sums its own table, and the tables are added up
    in streams: a fixed size, whatever the corpus.
 2. A document's features pool its words' vectors: mean and spread by dimension,
