@@ -34,3 +34,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut_lineage(small.union(least.select("u", "m")).distinct())
+
+
+def ids_of_several(rows: DataFrame, key: str, *content: str) -> DataFrame:
+    """Ids of rows that differ in ``content``; checkpointed, column ``key``."""
+    mark = F.xxhash64(*content)
+    return cut_lineage(rows.where(F.col(key).isNotNull()).groupBy(key)
+                       .agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"))
+                       .where("lo <> hi").select(key))

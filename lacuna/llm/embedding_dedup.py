@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .components import components
+from .components import components, ids_of_several
 
 THRESHOLD = 0.98
 TABLES = 32
@@ -204,7 +204,14 @@ def dedup(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
         .mapInArrow(_compared(threshold), "node long, links long, root long"))
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    edges = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    several = ids_of_several(every, "id", "label", "vector")
+    repeats = not several.isEmpty()
+    if repeats:
+        edges = edges.union(every.where(usable_).join(several, "id")
+                            .join(reps.select("label", "vector", "node"), ["label", "vector"])
+                            .select("id", "node"))
+    roots = components(edges)
     done = (reps.select("label", "vector", "node", "n")
             .join(links, "node", "left").join(roots, "node", "left")
             .select(F.col("label").alias("l"), F.col("vector").alias("v"),
@@ -213,8 +220,11 @@ def dedup(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
     linked = every.where(usable_).join(done, (F.col("label") == F.col("l"))
                                        & (F.col("vector") == F.col("v")))
     alone = every.where(~usable_)
-    return (linked.select("id", "n_links", "component_id")
-            .union(alone.select("id", F.lit(0).cast("long"), "id"))
+    alone = alone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    if repeats:  # an id without a usable vector here may have one in another row
+        alone = alone.join(roots, F.col("id") == F.col("node"), "left").select(
+            "id", "n_links", F.coalesce("component", "component_id").alias("component_id"))
+    return (linked.select("id", "n_links", "component_id").union(alone)
             .select(F.col("id").alias(key), "n_links", "component_id",
                     (F.col("id") == F.col("component_id")).alias("kept")))
 

@@ -135,6 +135,20 @@ def test_ngram_join_odd_rows(spark, odd_docs, odd_rows):
     assert {i for i in ids if i is not None} == set(want.values())
 
 
+def test_ngram_join_one_id_on_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, b + " end"), (9, ""), (9, c), (8, c), (10, None), (10, "z"),
+            (11, "y"), (12, "x"), (12, "w"), (13, "w")]
+    df = spark.createDataFrame(rows + [(None, a), (None, "v")], "doc_id long, text string").repartition(3)
+    want = brute_components(rows)
+    got = ngram_join.join(df).collect()
+    assert len(got) == len(rows) + 2
+    assert {(r["doc_id"], r["component_id"]) for r in got if r["doc_id"] is not None} == set(want.items())
+    assert want[7] == 3 and want[9] == 8
+    ids = [r["doc_id"] for r in ngram_join.representatives(df).collect() if r["doc_id"] is not None]
+    assert set(ids) == set(want.values())
+
+
 # ------------------------------------------------------------------ passages
 def test_substring_dedup_odd_rows(spark, odd_docs, odd_rows):
     text = [words(t) for _, t, _ in odd_rows]
@@ -214,6 +228,19 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
         assert got[i]["kept"] == (low[i] == i)
 
 
+def test_embeddings_one_id_on_several_vectors(spark):
+    a, b, c = np.eye(16).tolist()[:3]
+    near = (np.array(b) + 0.01).tolist()
+    rows = [(3, a, 0), (5, a, 0), (5, b, 0), (7, near, 0), (8, c, 1), (9, c, 1), (9, None, 1),
+            (10, c, 0), (12, b, 1), (12, [], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = embedding_dedup.dedup(df).collect()
+    assert len(got) == len(rows)
+    want = {3: 3, 5: 3, 7: 3, 8: 8, 9: 8, 10: 10, 12: 12}
+    assert {(r["vec_id"], r["component_id"]) for r in got} == set(want.items())
+    assert all(r["kept"] == (r["vec_id"] == want[r["vec_id"]]) for r in got)
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.dedup(df).count() == 0
