@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from . import (
     chat_format, embedding_dedup, html_text, line_dedup, mixing, ngram_join, packing,
-    periodic_runs, quality_model, quality_rules, substring_dedup, turn_repair,
+    periodic_runs, quality_model, quality_rules, substring_dedup, token_counts,
+    turn_repair,
 )
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op8_quality_rules": (quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
     "op9_html_extraction": (html_text.op9_html_extraction, None),
     "op10_chat_format": (chat_format.op10_chat_format, chat_format.OP10_SQL),
+    "op11_token_counts": (token_counts.op11_token_counts, None),
     "op12_conversation_repair": (turn_repair.op12_conversation_repair, None),
     "op13_periodic_runs": (periodic_runs.op13_periodic_runs, None),
 }
