@@ -1,4 +1,4 @@
-"""Risk-classifier training and model selection.
+"""Risk-classifier training: splits, folds, preprocessing, single fits, persistence.
 
 Leak-safe by default: the preprocessing (median imputation, robust scaling,
 mode fill, one-hot) is fitted inside each training fold / on the training
@@ -8,15 +8,14 @@ period only, and target-derived columns are never predictors.
   row number, no single-task window; first int(n * 0.75) rows train.
 * J2/J3 CV sample and stratified folds: exact md5 sample, then the fold is the
   md5 position within the class modulo 3 (``rank.positions`` per class).
-* Models are MLlib estimators; AdaBoost is a SAMME loop of weighted stumps.
-* Metrics (macro F1 ...) come from ``evaluate.summary_metrics`` (MLlib's
-  built-in F1 is weighted, not macro).
+* ``fit_model`` fits one MLlib estimator (AdaBoost: a SAMME loop of weighted stumps);
+  comparing, searching and refitting many fits at once is ``selection``'s.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier,
@@ -28,9 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import DEFAULT_SEED, md5_key
 from ..session import cut_lineage
-from . import evaluate
 from .impute import string_modes
-from .missing import sample_rows
 from .rank import positions
 
 LABEL = "label_idx"
@@ -111,6 +108,7 @@ def candidate_models(n_train: int, seed: int = DEFAULT_SEED) -> dict:
 
 CUT_ROUNDS = 10
 SAMME_TABLE = "samme-weights"
+MODEL_TABLE = "model-arrays"  # of selection.FittedModel
 
 
 class SammeBoost:
@@ -228,141 +226,9 @@ def _scored(chain: _Chain, df: DataFrame) -> DataFrame:
                                                    F.col(LABEL).cast("int") + 1).alias("actual"))
 
 
-def cross_validate(df: DataFrame, feats: Features, key_cols, models=None, k: int = 3,
-                   cv_rows: int | None = 5000, seed: int = DEFAULT_SEED) -> DataFrame:
-    """CV comparison (mean / population-std accuracy, mean macro F1), sorted."""
-    spark = df.sparkSession
-    base = sample_rows(df, key_cols, cv_rows, seed, salt="cv") if cv_rows else df
-    folded = cut_lineage(stratified_folds(base, feats.label, key_cols, k, seed))
-    names = list(models or candidate_models(1).keys())
-    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
-    total = sum(sizes.values())
-
-    def one(name, f):
-        # folds are independent Spark jobs: run them concurrently (the driver only waits)
-        tr = folded.filter(F.col("fold") != f)
-        te = folded.filter(F.col("fold") == f)
-        chain = fit_model(name, tr, feats, total - sizes.get(f, 0), seed)
-        m = evaluate.summary_metrics(_scored(chain, te), "actual", "predicted").first()
-        return m["accuracy"], m["f1_macro"]
-
-    from concurrent.futures import ThreadPoolExecutor
-    rows = []
-    with ThreadPoolExecutor(max_workers=2 * k) as pool:
-        found = list(pool.map(lambda w: one(*w), [(name, f) for name in names for f in range(k)]))
-        for i, name in enumerate(names):
-            res = found[i * k:(i + 1) * k]
-            accs = [a for a, _ in res]
-            f1s = [b for _, b in res]
-            mean = sum(accs) / k
-            std = math.sqrt(sum((a - mean) ** 2 for a in accs) / k)
-            rows.append((name, mean, std, sum(f1s) / k))
-    out = spark.createDataFrame(rows, "model string, cv_accuracy_mean double, "
-                                      "cv_accuracy_std double, cv_f1_macro_mean double")
-    return out.orderBy(F.col("cv_f1_macro_mean").desc(), "model")
-
-
-# The grids of the task.  A depth of 30, MLlib's largest, stands for "no limit".
-TUNING_GRIDS = {
-    "Random Forest": {"numTrees": [120, 180, 260], "maxDepth": [8, 14, 20, 30],
-                      "minInstancesPerNode": [1, 2, 4]},
-    "Logistic Regression": {"C": [0.3, 1.0, 2.0]},
-    "Decision Tree": {"maxDepth": [3, 6, 10]},
-}
-
-
-def tune(name: str, df: DataFrame, feats: Features, key_cols, k: int = 3,
-         seed: int = DEFAULT_SEED, n_random: int = 5) -> tuple[dict, DataFrame]:
-    """Random search (5 of the grid) for forests, grid search for LR / tree, by CV macro F1."""
-    import itertools
-    import random
-    grid = TUNING_GRIDS.get(name)
-    spark = df.sparkSession
-    if not grid:
-        return {}, spark.createDataFrame([], "params string, cv_f1_macro_mean double")
-    combos = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
-    if name == "Random Forest":
-        combos = random.Random(seed).sample(combos, min(n_random, len(combos)))
-    folded = cut_lineage(stratified_folds(df, feats.label, key_cols, k, seed))
-    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
-
-    def one(params, f):
-        tr, te = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
-        chain = fit_model(name, tr, feats, sum(sizes.values()) - sizes.get(f, 0), seed, params)
-        return evaluate.summary_metrics(_scored(chain, te), "actual", "predicted").first()["f1_macro"]
-
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=2 * k) as pool:
-        found = list(pool.map(lambda w: one(*w), [(p, f) for p in combos for f in range(k)]))
-    rows = [(str(p), sum(found[i * k:(i + 1) * k]) / k, p) for i, p in enumerate(combos)]
-    best = max(rows, key=lambda r: r[1])
-    table = spark.createDataFrame([(a, b) for a, b, _ in rows],
-                                  "params string, cv_f1_macro_mean double")
-    return best[2], table
-
-
-@dataclass
-class TrainingResult:
-    model_name: str
-    chain: object
-    comparison: DataFrame
-    metrics: dict
-    test_scored: DataFrame
-    train: DataFrame
-    test: DataFrame
-    feats: Features
-    extra: dict = field(default_factory=dict)
-
-
-def train_and_evaluate(df: DataFrame, feats: Features, date_col: str, key_cols, models=None,
-                       cv_rows: int | None = 5000, seed: int = DEFAULT_SEED,
-                       test_size: float = 0.25) -> TrainingResult:
-    """Split in time, compare by CV on the training period, refit the best, score."""
-    train, test = chronological_split(df, date_col, key_cols, test_size)
-    train, test = cut_lineage(train), cut_lineage(test)
-    comp = cross_validate(train, feats, key_cols, models, cv_rows=cv_rows, seed=seed)
-    comp = cut_lineage(comp)
-    best = comp.first()["model"]
-    # the winner's parameters are searched on the rows that it was compared on
-    sample = cut_lineage(sample_rows(train, key_cols, cv_rows, seed, salt="cv")) if cv_rows else train
-    params, tuning = tune(best, sample, feats, key_cols, seed=seed)
-    chain = fit_model(best, train, feats, train.count(), seed, params)
-    scored = cut_lineage(_scored(chain, test))
-    metrics = evaluate.summary_metrics(scored, "actual", "predicted").first().asDict()
-    return TrainingResult(best, chain, comp, metrics, scored, train, test, feats,
-                          {"params": params, "tuning": tuning})
-
-
-def downstream_accuracy(repaired: DataFrame, feats: Features, key_cols,
-                        seed: int = DEFAULT_SEED) -> float:
-    """Logistic-regression accuracy on a stratified md5 split of a repaired table.
-
-    Test share max(0.25, classes / n) capped at 0.40; degenerate input -> 0.0.
-    """
-    df = repaired.filter(F.col(feats.label).isNotNull())
-    n = df.count()
-    k = df.select(feats.label).distinct().count()
-    if n < 4 or k < 2:
-        return 0.0
-    share = min(0.40, max(0.25, k / n))
-    tagged = df.withColumn("_sh", md5_key(key_cols, seed, "downstream"))
-    pos = positions(tagged, [feats.label], ["_sh", *key_cols], "_p")
-    cnt = df.groupBy(feats.label).agg(F.count(F.lit(1)).alias("_c"))
-    pos = pos.join(F.broadcast(cnt), feats.label)   # one row per class
-    is_test = F.col("_p") <= F.ceil(F.col("_c") * F.lit(share))
-    train, test = pos.filter(~is_test), pos.filter(is_test)
-    ntr = train.count()
-    pre = Pipeline(stages=preprocessing_stages(feats)).fit(train)
-    lr = LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=500,
-                            regParam=1.0 / max(ntr, 1), standardization=False)
-    chain = _Chain(pre, lr.fit(pre.transform(train)))
-    m = evaluate.summary_metrics(_scored(chain, test), "actual", "predicted").first()
-    return float(m["accuracy"] or 0.0)
-
-
 def save_model(chain, path: str) -> None:
-    """Persist preprocessing + model as one MLlib ``PipelineModel`` (SAMME: its parts)."""
-    if isinstance(chain.model, SammeModel):
+    """Persist preprocessing + model as one MLlib ``PipelineModel`` (other models: their parts)."""
+    if hasattr(chain.model, "save") and not hasattr(chain.model, "uid"):
         chain.model.save(path, chain.pre)
         return
     PipelineModel(stages=list(chain.pre.stages) + [chain.model]).write().overwrite().save(path)
@@ -372,13 +238,22 @@ def score_batch(model_path: str, df: DataFrame) -> DataFrame:
     """Load a saved pipeline and score every row: class and max class probability."""
     from pyspark.errors import AnalysisException
     from pyspark.ml.functions import vector_to_array
-    try:
-        df.sparkSession.read.parquet(f"{model_path}/{SAMME_TABLE}")
-    except AnalysisException:  # no such table: one pipeline
-        out = PipelineModel.load(model_path).transform(df)
-    else:
+
+    def has(table):
+        try:
+            df.sparkSession.read.parquet(f"{model_path}/{table}")
+        except AnalysisException:
+            return False
+        return True
+
+    if has(SAMME_TABLE):
         return SammeModel.load(model_path).transform(df).withColumnRenamed(
             "max_vote", "max_probability")
+    if has(MODEL_TABLE):
+        from .selection import FittedModel
+        out = FittedModel.load(model_path).transform(df)
+    else:  # one pipeline
+        out = PipelineModel.load(model_path).transform(df)
     if "probability" not in out.columns:  # one-vs-rest margins are no probabilities
         return out.withColumn("max_probability", F.lit(None).cast("double"))
     return out.withColumn("max_probability", F.array_max(vector_to_array("probability")))

@@ -14,7 +14,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, eda, evaluate, features, modeling, outliers, stats
+from ..operators import clean, eda, evaluate, features, modeling, outliers, selection, stats
 from ..operators.impute import METHODS, repair_with_policy
 from ..operators.missing import MaskRule, inject_duplicates, inject_missingness, missing_profile
 from ..operators.scoring import benchmark, best_method
@@ -85,7 +85,7 @@ def run_repair_project(spark: SparkSession, panel: DataFrame | None = None,
     lap("statistics_eda")
 
     feats = modeling.Features(num, [c for c in spec.categorical if c != label], label)
-    training = modeling.train_and_evaluate(engineered, feats, spec.date_col, key, models=models)
+    training = selection.train_and_evaluate(engineered, feats, spec.date_col, key, models=models)
     report = evaluate.classification_report(training.test_scored, "actual", "predicted")
     confusion = evaluate.confusion_counts(training.test_scored, "actual", "predicted")
     lap("train_evaluate")

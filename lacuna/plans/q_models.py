@@ -133,7 +133,7 @@ def k5_calibration(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- modelling (J, E8, K6-K11)
-from ..operators import explain, modeling  # noqa: E402
+from ..operators import explain, modeling, selection  # noqa: E402
 from ..sources.tables import ORDER_FACTS_SQL, order_facts  # noqa: E402
 from .fixtures_sql import md5_sql  # noqa: E402
 
@@ -166,7 +166,7 @@ def j2_j3_cv_folds(spark, sf_dir):
 
 
 def _training(spark, sf_dir):
-    return modeling.train_and_evaluate(order_facts(spark, sf_dir), FEATS, "o_orderdate", KEY)
+    return selection.train_and_evaluate(order_facts(spark, sf_dir), FEATS, "o_orderdate", KEY)
 
 
 @query("j11_model_comparison")
@@ -195,7 +195,7 @@ def k1_holdout_report(spark, sf_dir):
 def _tuned(spark, sf_dir, model):
     from ..operators.missing import sample_rows
     cv = sample_rows(order_facts(spark, sf_dir), KEY, 5000, salt="cv")
-    return modeling.tune(model, cv, FEATS, KEY)[1]
+    return selection.tune(model, cv, FEATS, KEY)[1]
 
 
 @query("j13_tuning")
@@ -204,6 +204,12 @@ def j13_tuning(spark, sf_dir):
     return _tuned(spark, sf_dir, "Decision Tree")
 
 
+@query("j13_tuning_forest")
+def j13_tuning_forest(spark, sf_dir):
+    """Random search of five forests' settings by CV macro F1, every tree grown."""
+    return _tuned(spark, sf_dir, "Random Forest")
+
+
 @query("j13_tuning_logistic")
 def j13_tuning_logistic(spark, sf_dir):
     """Grid search over C of the logistic regression on the CV sample."""
@@ -258,7 +264,7 @@ def e8_downstream_accuracy(spark, sf_dir):
     from ..spec import ORDER_FACTS
     from .panels import masked_order_facts
     rep = impute(masked_order_facts(spark, sf_dir), ORDER_FACTS.with_numeric(FEATS.numeric), "Median")
-    acc = modeling.downstream_accuracy(rep, FEATS, KEY)
+    acc = selection.downstream_accuracy(rep, FEATS, KEY)
     return spark.createDataFrame([("Median", acc)], "method string, downstream_model_accuracy double")
 
 
@@ -317,5 +323,5 @@ def e_full_benchmark(spark, sf_dir):
     spec = ORDER_FACTS.with_numeric(FEATS.numeric)
     metrics, _ranked, rec, _summary = benchmark(
         df, spec, timed=True,
-        downstream=lambda rep: modeling.downstream_accuracy(rep, FEATS, KEY))
+        downstream=lambda reps: selection.downstream_accuracies(reps, FEATS, KEY))
     return metrics.join(rec.select("feature", F.col("method").alias("recommended")), "feature")
