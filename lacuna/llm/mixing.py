@@ -195,23 +195,26 @@ def mixed_whole(docs: DataFrame, key: str = "doc_id", column: str = "text",
     """The mix in whole documents, all columns: one row for each pass that takes a document.
 
     A source misses its target by at most half of the document on the threshold.  Rows
-    of one id and text are taken alike.
+    of one id and text are taken alike.  Words are counted once, into a narrow checkpoint;
+    beyond that only the texts on a threshold are counted and hashed.
     """
-    rows = _sized(docs, key, column, source, *docs.columns)
-    state = thresholds(_sized(docs, key, column, source).select(
-        F.col("__source").alias("source"), F.col("__size").alias("size"),
-        F.col("__h").alias("h")))
+    rows = docs.select(*docs.columns, F.col(source).cast("string").alias("__source"),
+                       hash60(key).alias("__h"))
+    narrow = cut_lineage(_sized(docs, key, column, source))
+    state = thresholds(narrow.select(F.col("__source").alias("source"), F.col("__size").alias("size"),
+                                     F.col("__h").alias("h")))
     limits = _sources(state.select(*[F.col(c).alias(f"__at_{c}") for c in ("source", "full", "limit")]))
     of_source = F.col("__source").eqNullSafe(F.col("__at_source"))
     tied = cut_lineage(rows.join(limits, of_source).where("__h = __at_limit").select(
-        F.col("__source").alias("source"), F.col("__size").alias("size"),
+        F.col("__source").alias("source"), n_words(column).alias("size"),
         _second_hash(key, column).alias("h")))
     state = _crossings(tied, state.select("source", "full", F.col("limit").alias("first"), "rest"))
     limits = _sources(state.select(*[F.col(c).alias(f"__at_{c}") for c in state.columns]))
     second = F.col("__second")
     near = (second < F.col("__at_limit")) | (
         (second == F.col("__at_limit")) & (2 * F.col("__at_rest") >= F.col("__at_tied")))
-    rows = rows.join(limits, of_source).where("__size > 0")
+    some_word = F.coalesce(F.col(column).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = rows.join(limits, of_source).where(some_word)
     rows = rows.withColumn("__second", F.when(F.col("__h") == F.col("__at_first"),
                                               _second_hash(key, column)))
     last = (F.col("__h") < F.col("__at_first")) | F.coalesce(near, F.lit(False))
