@@ -17,6 +17,7 @@ by one.  An empty table gives no rows.  Only the id and the text are read.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import sys
@@ -35,8 +36,9 @@ from . import text as tx
 
 CAPACITY = 2048
 END_ID = 1
-#: Words whose ids a Python worker remembers.
-CACHED_WORDS = 1_000_000
+#: Bytes of words and parts that a Python worker remembers with their ids, about.
+CACHED_BYTES = 160 << 20
+_ENTRY_BYTES = 200  # of an entry besides its texts
 #: Pieces of one length that are ranked together.
 RANKED_ROWS = 2_000
 
@@ -67,14 +69,28 @@ class WordIds:
         self.other = regex.compile("[\x00-\x20\x7f-\u00a0\u0130\u0300-\U0010ffff]|<\\|").search
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.held = 0
+
+    def _ids(self, part: str) -> bytes:
+        level = part if part.isascii() else self.as_bytes(part)[0][0]
+        return array("I", [t.id for t in self.model(level)]).tobytes()
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            level = part if part.isascii() else self.as_bytes(part)[0][0]
-            ids = self.parts[part] = array("I", [t.id for t in self.model(level)]).tobytes()
+            ids = self.parts[part] = self._ids(part)
+            self.held += len(part) + len(ids) + _ENTRY_BYTES
         return ids
 
+    def _forget(self) -> None:
+        """Drop the newer half of all entries once they take too much; frequent ones came early."""
+        if self.held <= CACHED_BYTES:
+            return
+        for cache in (self.known, self.parts):
+            for k in list(itertools.islice(reversed(cache), len(cache) // 2)):
+                del cache[k]
+        self.held = sum(len(k) + len(v) + _ENTRY_BYTES for c in (self.known, self.parts) for k, v in c.items())
+
     def _learn(self, words: list[bytes]) -> None:
         known, rest = self.known, []
         for w in words:
@@ -83,19 +99,27 @@ class WordIds:
                 rest.append(w)
                 continue
             s = s.lower()
-            known[w] = self._part(s) if s.isalpha() else b"".join(map(self._part, self.split(s)))
+            if s.isalpha():  # a part of its own: kept as a word, in lower case too
+                low = s.encode()
+                if low not in known:
+                    known[low] = self._ids(s)
+                    self.held += len(low) + len(known[low]) + _ENTRY_BYTES
+                if low == w:
+                    continue
+                known[w] = known[low]
+            else:
+                known[w] = b"".join(map(self._part, self.split(s)))
+            self.held += len(w) + len(known[w]) + _ENTRY_BYTES
         for lo in range(0, len(rest), 20_000):
             part = rest[lo:lo + 20_000]
             got = self.encode([w.decode() for w in part], add_special_tokens=False)
             known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, got))
+            self.held += sum(len(w) + 4 * len(e.ids) + _ENTRY_BYTES for w, e in zip(part, got))
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        if len(self.parts) > CACHED_WORDS:
-            self.parts.clear()
+        self._forget()
         self._learn(list(set().union(*split).difference(self.known)))
         ids = self.known.__getitem__
         out = [b"".join(map(ids, words)) for words in split]

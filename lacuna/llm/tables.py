@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .text import give_back
 
 BITMAP_BITS = 25
 _CHUNK = 1 << 13  # numbers in a row of a table that is summed
@@ -126,6 +127,7 @@ def list_slices(batches: Iterator[pa.RecordBatch], column: str,
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def listed(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

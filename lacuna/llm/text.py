@@ -7,6 +7,7 @@ is ``[^\\x20\\x09-\\x0D]+`` on code points.  A null text has no words.  Hashes a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -127,6 +128,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    give_back()
+
+
+def give_back() -> None:
+    """Return what the allocators of this worker hold free; a worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
 
 
 def per_text(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
