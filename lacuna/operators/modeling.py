@@ -4,8 +4,8 @@ Leak-safe by default: the preprocessing (median imputation, robust scaling,
 mode fill, one-hot) is fitted inside each training fold / on the training
 period only, and target-derived columns are never predictors.
 
-* J1 chronological split: ``rank.positions`` over (date, key) -- a distributed
-  row number, no single-task window; first int(n * 0.75) rows train.
+* J1 chronological split: the cut row's (date, key) by order-statistic selection, then two
+  filters; first int(n * 0.75) rows train.
 * J2/J3 CV sample and stratified folds: exact md5 sample, then the fold is the
   md5 position within the class modulo 3 (``rank.positions`` per class).
 * ``fit_model`` fits one MLlib estimator (AdaBoost: a SAMME loop of weighted stumps);
@@ -28,18 +28,59 @@ from pyspark.sql import functions as F
 from ..functions.exprs import DEFAULT_SEED, md5_key
 from ..session import cut_lineage
 from .impute import string_modes
+from .quantile import exact_quantiles
 from .rank import positions
 
 LABEL = "label_idx"
 
 
+def _as_number(df: DataFrame, col: str):
+    """The column as a double of the same order (dates: days, timestamps: microseconds)."""
+    kind = df.schema[col].dataType.simpleString()
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
+
+
+def _order_statistic(df: DataFrame, col: str, rank: int, n: int) -> float:
+    """The ``rank``-th smallest (from 1) of ``n`` values, checked by exact counts."""
+    v = exact_quantiles(df, [col], [(rank - 1) / max(n - 1, 1)])[col, (rank - 1) / max(n - 1, 1)]
+    while True:  # the quantile may fall between two values, or a rank's rounding beside it
+        c = F.col(col)
+        r = df.agg(F.count_if(c < v).alias("below"), F.count_if(c <= v).alias("upto"),
+                   F.max(F.when(c < v, c)).alias("prev"), F.min(F.when(c > v, c)).alias("next")).first()
+        if r["below"] < rank <= r["upto"]:
+            return v
+        v = r["prev"] if rank <= r["below"] else r["next"]
+
+
 def chronological_split(df: DataFrame, date_col: str, key_cols, test_size: float = 0.25):
-    """First int(n * (1 - test_size)) rows by (date, key) train, the rest test."""
-    n = df.count()
-    cut = int(n * (1 - test_size))
-    pos = positions(df.withColumn("_all", F.lit(1)), ["_all"], [date_col, *key_cols], "_pos")
-    pos = pos.drop("_all")
-    return pos.filter(F.col("_pos") <= cut).drop("_pos"), pos.filter(F.col("_pos") > cut).drop("_pos")
+    """First int(n * (1 - test_size)) rows by (date, key) train, the rest test.
+
+    The cut is an order statistic of the dates (NULL first) and, among the rows of that date, of the
+    keys; the two sides are filters by literals, so no full row is moved.
+    """
+    key_cols = list(key_cols)
+    keys = df.select(*key_cols, _as_number(df, date_col).alias("_date"))
+    c = keys.agg(F.count(F.lit(1)).alias("n"), F.count("_date").alias("dated")).first()
+    cut = int(c["n"] * (1 - test_size))
+    if cut == 0 or cut == c["n"]:
+        return df.where(F.lit(cut > 0)), df.where(F.lit(cut == 0))
+    undated = c["n"] - c["dated"]
+    date = _as_number(df, date_col)
+    if cut <= undated:
+        at, left, earlier, here = keys.where("_date IS NULL"), cut, F.lit(False), date.isNull()
+    else:
+        v = _order_statistic(keys.where("_date IS NOT NULL"), "_date", cut - undated, c["dated"])
+        at = keys.where(F.col("_date") == v)
+        left = cut - undated - keys.where(F.col("_date") < v).count()
+        earlier, here = date.isNull() | (date < v), F.coalesce(date == v, F.lit(False))
+    last = positions(at.select(*key_cols), [], key_cols, "_pos").where(F.col("_pos") == left).first()
+    upto = F.struct(*key_cols) <= F.struct(*[F.lit(last[k]).cast(df.schema[k].dataType).alias(k) for k in key_cols])
+    trains = F.coalesce(earlier, F.lit(False)) | (here & upto)
+    return df.where(trains), df.where(~trains)
 
 
 def stratified_folds(df: DataFrame, label: str, key_cols, k: int = 3,
