@@ -1,14 +1,16 @@
 """Model diagnostics as tables (K6-K11): learning / validation curves, permutation
 importance, partial dependence, tree importances.
 
-Subsets are exact md5 samples; permutations are md5 re-orderings joined back by
-distributed position (``rank.positions``), so nothing is collected to shuffle.
+Subsets are exact md5 samples; permutations are keyed bijections of distributed
+positions (``rank.positions``), all scored in one pass.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from ..functions.exprs import DEFAULT_SEED, md5_key
 from ..session import cut_lineage
 from . import evaluate
 from .missing import sample_rows
-from .modeling import Features, _scored, fit_model, stratified_folds
+from .modeling import LABEL, Features, _scored, fit_model, stratified_folds
 from .quantile import exact_quantiles
 from .rank import positions
 
@@ -83,22 +85,61 @@ def validation_curve(df: DataFrame, feats: Features, key_cols, model: str = "Dec
                                        "validation_f1_macro double")
 
 
-def permute_column(df: DataFrame, col: str, key_cols, salt: str, seed: int = DEFAULT_SEED,
-                   positioned: DataFrame | None = None) -> DataFrame:
-    """``col`` shuffled across rows: the row at key-order position i takes the value
-    of the row at position i of an md5 order (a bijection), via distributed positions.
-
-    ``positioned`` (``df`` with its key-order position ``_pa``) can be passed in to
-    reuse one ranking for many permutations.
+def bijection(at: np.ndarray, n: int, key: int) -> np.ndarray:
+    """A keyed permutation of 0..n-1, place by place: four Feistel rounds over the halves of the
+    place's bits, repeated for places that fall outside until they come back in."""
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask = np.uint64((1 << half) - 1)
+    out = np.array(at, np.uint64)
+    live = np.arange(len(out))
+    while len(live):
+        left, right = out[live] >> np.uint64(half), out[live] & mask
+        for r in range(4):
+            x = right + np.uint64((key * 4 + r + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            left, right = right, left ^ ((x ^ (x >> np.uint64(31))) & mask)
+        out[live] = left << np.uint64(half) | right
+        live = live[out[live] >= n]
+    return out.astype(np.int64)
+
+
+def permuted_rows(base: DataFrame, columns, key_cols, repeats: int, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Each row once as it is (``_pair`` = -1) and once per (column, repeat) with that column's value of
+    another row: ``_pair`` = column * repeats + repeat, each an exact permutation of the column.
+
+    One position pass; the value at place s is sent to place ``bijection(s)``, narrow, and meets the row
+    there by one join for all pairs.
     """
-    if positioned is None:
-        positioned = positions(df.withColumn("_all", F.lit(1)), ["_all"], list(key_cols),
-                               "_pa").drop("_all")
-    b = positions(df.select(*key_cols, F.col(col).alias("_v"))
-                  .withColumn("_hb", md5_key(key_cols, seed, salt)).withColumn("_all", F.lit(1)),
-                  ["_all"], ["_hb", *key_cols], "_pb")
-    vals = b.select(F.col("_pb").alias("_pa"), "_v")
-    return positioned.join(vals, "_pa").withColumn(col, F.col("_v")).drop("_v", "_pa")
+    columns = list(columns)
+    kinds = {c: base.schema[c].dataType for c in columns}
+    text = {c: kinds[c].simpleString() == "string" for c in columns}
+    n = base.count()
+    placed = positions(base, [], list(key_cols), "_at")
+    sent = placed.select((F.col("_at") - 1).alias("s"),
+                         F.array(*[F.lit(None).cast("double") if text[c] else F.col(c).cast("double")
+                                   for c in columns]).alias("num"),
+                         F.array(*[F.col(c) if text[c] else F.lit(None).cast("string")
+                                   for c in columns]).alias("txt"))
+    pairs = len(columns) * repeats
+
+    def send(batches):
+        for b in batches:
+            s = b.column(0).to_numpy()
+            num, txt = (b.column(k).flatten() for k in (1, 2))
+            for pair in range(-1, pairs):
+                c = max(pair, 0) // repeats
+                take = pa.array(np.arange(len(s)) * len(columns) + c)
+                to = s if pair < 0 else bijection(s, n, seed * 1_000_003 + pair)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to), pa.array(np.full(len(s), pair)), num.take(take), txt.take(take)],
+                    names=["_to", "_pair", "_num", "_txt"])
+
+    values = sent.mapInArrow(send, "_to long, _pair long, _num double, _txt string")
+    rows = placed.join(values, F.col("_at") == F.col("_to") + 1)
+    swapped = {c: F.when(F.floor(F.col("_pair") / repeats) == i, F.col("_txt" if text[c] else "_num").cast(kinds[c]))
+               .otherwise(F.col(c)) for i, c in enumerate(columns)}
+    return rows.withColumns(swapped).drop("_at", "_to", "_num", "_txt")
 
 
 def permutation_importance(chain, test: DataFrame, feats: Features, key_cols,
@@ -106,30 +147,22 @@ def permutation_importance(chain, test: DataFrame, feats: Features, key_cols,
                            seed: int = DEFAULT_SEED) -> DataFrame:
     """K8: mean / std drop of macro F1 when one feature is permuted, sorted descending.
 
-    All rows of ``test`` count unless the caller asks for a sample (``max_rows``).
+    All rows of ``test`` count unless the caller asks for a sample (``max_rows``).  All
+    permutations are scored in one pass.
     """
+    from .selection import scores
     spark = test.sparkSession
     base = sample_rows(test, key_cols, max_rows, seed, salt="importance") if max_rows else test
-    base = cut_lineage(base)
-    ref = _f1(chain, base)
-    positioned = cut_lineage(positions(base.withColumn("_all", F.lit(1)), ["_all"],
-                                       list(key_cols), "_pa").drop("_all"))
-    work = [(c, r) for c in list(feats.numeric) + list(feats.categorical) for r in range(repeats)]
-
-    def one(item):
-        c, r = item
-        perm = permute_column(base, c, key_cols, f"{c}|{r}", seed, positioned)
-        return c, ref - _f1(chain, perm)
-
-    drops: dict[str, list] = {}
-    with ThreadPoolExecutor(max_workers=4) as pool:   # independent jobs, run concurrently
-        for c, d in pool.map(one, work):
-            drops.setdefault(c, []).append(d)
-    rows = []
-    for c, ds in drops.items():
-        mean = sum(ds) / len(ds)
-        std = (sum((d - mean) ** 2 for d in ds) / len(ds)) ** 0.5
-        rows.append((c, mean, std))
+    columns = list(feats.numeric) + list(feats.categorical)
+    scored = chain.transform(permuted_rows(base, columns, key_cols, repeats, seed))
+    k = len(chain.labels())
+    counts = np.zeros((len(columns) * repeats + 1, k, k))
+    for r in scored.groupBy("_pair", F.col(LABEL).cast("int").alias("y"), F.col("prediction").cast("int").alias("p")) \
+            .agg(F.count(F.lit(1)).alias("n")).collect():  # pairs x classes x classes
+        counts[r["_pair"] + 1, r["y"], r["p"]] = r["n"]
+    f1 = [scores(c)["f1_macro"] for c in counts]
+    drops = f1[0] - np.array(f1[1:]).reshape(len(columns), repeats)
+    rows = [(c, float(d.mean()), float(d.std())) for c, d in zip(columns, drops)]
     out = spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
     return out.orderBy(F.col("importance_mean").desc(), "feature")
 
