@@ -110,9 +110,10 @@ def temporal_features(df: DataFrame, spec: PanelSpec, col: str, warmup_fill: boo
 def warmup_fill_medians(df: DataFrame, group_keys, cols) -> DataFrame:
     """NULL -> median of the group -> median of the column (after the group fill)."""
     from .quantile import grouped_quantiles
+    from .rank import null_safe
     group_keys = list(group_keys)
     gmed = grouped_quantiles(df, group_keys, list(cols), [0.5], lambda v, i: f"_gm_{v}")
-    out = df.join(gmed, group_keys, "left")
+    out = null_safe(df, gmed, group_keys, "left")
     out = out.select(*[F.coalesce(F.col(c), F.col(f"_gm_{c}")).alias(c) if c in cols
                        else F.col(c) for c in df.columns])
     glob = exact_quantiles(out, cols, [0.5])

@@ -243,3 +243,51 @@ def a1_csv_scan(spark, sf_dir):
     df = files.load_panel_csv(spark, path, schema="o_orderkey long, Date string, o_totalprice double")
     return df.select("o_orderkey", F.col("Date").cast("string").alias("Date"),
                      F.round("o_totalprice", 2).alias("o_totalprice"))
+
+
+@query("a3_run_summary", """
+SELECT '{"customers": ' || (SELECT count(*) FROM customer) || ', "orders": {"first": "'
+       || (SELECT min(CAST(o_orderdate AS DATE)) FROM orders) || '", "rows": '
+       || (SELECT count(*) FROM orders) || '}}' AS summary""")
+def a3_run_summary(spark, sf_dir):
+    """A run summary of table counts, written as one JSON document and read back (A3)."""
+    from ..sources import files
+    path = _scratch(spark, "summary")
+    orders = read_table(spark, sf_dir, "orders").agg(
+        F.count(F.lit(1)).alias("rows"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("first")).first()
+    files.write_summary(spark, {"orders": orders.asDict(), "customers": read_table(
+        spark, sf_dir, "customer").count()}, path)
+    return spark.read.text(path).withColumnRenamed("value", "summary")
+
+
+@query("b7_present_columns", "SELECT event_id, user_id, round(value, 6) AS value FROM events")
+def b7_present_columns(spark, sf_dir):
+    """Of the columns that a specification names, those that the table has."""
+    from ..spec import PanelSpec
+    df = read_table(spark, sf_dir, "events")
+    spec = PanelSpec(key=("event_id",), group_keys=("ward", "user_id"), numeric=("beds", "value")).present(df)
+    return df.select(*spec.key, *spec.group_keys, *[F.round(c, 6).alias(c) for c in spec.numeric])
+
+
+@query("b11_first_available", """
+SELECT user_id, 'value' AS measure, round(avg(value), 6) AS mean FROM events GROUP BY user_id""")
+def b11_first_available(spark, sf_dir):
+    """The mean by group of the first measure of a list that the table has."""
+    df = read_table(spark, sf_dir, "events")
+    measure = clean.first_available(df, ["occupancy_pct", "occupancy", "value", "event_id"])
+    return df.groupBy("user_id").agg(F.lit(measure).alias("measure"), F.round(F.avg(measure), 6).alias("mean"))
+
+
+@query("b12_feature_roles", """
+SELECT * FROM (SELECT 'c_acctbal' AS feature, 'numeric' AS role, count(c_acctbal) AS known FROM customer
+  UNION ALL SELECT 'c_mktsegment', 'categorical', count(c_mktsegment) FROM customer)""")
+def b12_feature_roles(spark, sf_dir):
+    """Predictors of a table by role, with their known values."""
+    from ..operators.features import model_feature_columns
+    df = read_table(spark, sf_dir, "customer")
+    numeric, categorical = model_feature_columns(df, ("c_custkey", "c_nationkey"), ("c_mktsegment", "c_ward"))
+    role = {c: "numeric" for c in numeric} | {c: "categorical" for c in categorical}
+    known = df.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.lit(r).alias("role"), F.col(c).isNotNull().cast("long").alias("k"))
+        for c, r in role.items()])).alias("x"))
+    return known.groupBy("x.feature", "x.role").agg(F.sum("x.k").alias("known"))
