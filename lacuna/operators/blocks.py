@@ -112,41 +112,52 @@ class Blocks:
 
     def sums(self, measure: Callable[[Block], Iterator[tuple[int, np.ndarray]]]) -> dict[int, np.ndarray]:
         """Sum per key of the float arrays that ``measure`` yields for each block."""
-        dtype, schema = self.dtype, "k long, v binary"
-        arrow = pa.schema([("k", pa.int64()), ("v", pa.binary())])
+        dtype = self.dtype
 
-        def put(total, k, v):
-            if k in total:
-                total[k] += v
-            else:
-                total[k] = np.array(v, np.float64)
+        def each(batches):
+            for b in _blocks(batches, dtype):
+                yield from measure(b)
 
-        def out(total):
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(
-                [v.tobytes() for v in total.values()], pa.binary())], schema=arrow)
+        return sum_arrays(self.frame, each, self.tasks)
 
-        def first(batches):
-            total: dict[int, np.ndarray] = {}
-            for b in _blocks(batches, dtype):
-                for k, v in measure(b):
-                    put(total, k, v)
-            yield from out(total)
-
-        def again(batches):
-            total: dict[int, np.ndarray] = {}
-            for b in batches:
-                for k, v in zip(b.column(0).to_pylist(), b.column(1)):
-                    put(total, k, np.frombuffer(v.as_buffer(), np.float64))
-            yield from out(total)
-
-        found = self.frame.mapInArrow(first, schema)
-        if self.tasks > FAN_IN:
-            found = found.repartition("k").mapInArrow(again, schema)
-        got = found.toArrow()
+
+def sum_arrays(frame: DataFrame, measure: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, np.ndarray]]],
+               tasks: int | None = None) -> dict[int, np.ndarray]:
+    """Sum per key of the float arrays that ``measure`` yields for the batches of all tasks."""
+    schema = "k long, v binary"
+    arrow = pa.schema([("k", pa.int64()), ("v", pa.binary())])
+
+    def put(total, k, v):
+        if k in total:
+            total[k] += v
+        else:
+            total[k] = np.array(v, np.float64)
+
+    def out(total):
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(
+            [v.tobytes() for v in total.values()], pa.binary())], schema=arrow)
+
+    def first(batches):
+        total: dict[int, np.ndarray] = {}
+        for k, v in measure(batches):
+            put(total, k, v)
+        yield from out(total)
+
+    def again(batches):
         total: dict[int, np.ndarray] = {}
-        for k, v in zip(got.column(0).to_pylist(), got.column(1)):
-            put(total, k, np.frombuffer(v.as_buffer(), np.float64))
-        return total
+        for b in batches:
+            for k, v in zip(b.column(0).to_pylist(), b.column(1)):
+                put(total, k, np.frombuffer(v.as_buffer(), np.float64))
+        yield from out(total)
+
+    found = frame.mapInArrow(first, schema)
+    if (frame.rdd.getNumPartitions() if tasks is None else tasks) > FAN_IN:
+        found = found.repartition("k").mapInArrow(again, schema)
+    got = found.toArrow()
+    total: dict[int, np.ndarray] = {}
+    for k, v in zip(got.column(0).to_pylist(), got.column(1)):
+        put(total, k, np.frombuffer(v.as_buffer(), np.float64))
+    return total
 
 
 def pack(frames: list[tuple[DataFrame, DataSet]], label: str, key_cols, used: str | None = None,
