@@ -313,3 +313,39 @@ query("d9_knn_imputer", _knn_sql())(_order_facts_repair("KNN Imputer"))
 query("d10_iterative_mice")(_order_facts_repair("Iterative Imputer (MICE)"))
 query("d11_regression_imputation")(_order_facts_repair("Regression Imputation"))
 query("d12_random_forest_imputation")(_order_facts_repair("Random Forest Imputation"))
+
+
+RIDGE_COLS = ["o_totalprice", "qty", "extprice"]
+
+
+def _ridge_sql():
+    """Ridge of each column on the other two, by the closed form of two scaled predictors."""
+    cols = RIDGE_COLS
+    ctes = [masked_order_facts(), "m AS (SELECT o_orderkey, "
+            + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols) + " FROM mof)",
+            "b AS (SELECT o_orderkey, " + ", ".join(
+                f"{c} AS o_{c}, coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM m)) AS {c}" for c in cols) + " FROM m)"]
+    fills = []
+    for t in cols:
+        x, z = (c for c in cols if c != t)
+        ctes.append(f"""s_{t} AS (SELECT count(*) AS n, avg({x}) AS mx, avg({z}) AS mz, avg({t}) AS mt
+  FROM b WHERE o_{t} IS NOT NULL)""")
+        ctes.append(f"""g_{t} AS (SELECT any_value(n) AS n, any_value(mx) AS mx, any_value(mz) AS mz, any_value(mt) AS mt,
+    sqrt(sum(({x} - mx) * ({x} - mx)) / any_value(n)) AS sx, sqrt(sum(({z} - mz) * ({z} - mz)) / any_value(n)) AS sz,
+    sum(({x} - mx) * ({z} - mz)) AS xz, sum(({x} - mx) * ({t} - mt)) AS xt, sum(({z} - mz) * ({t} - mt)) AS zt
+  FROM b, s_{t} WHERE o_{t} IS NOT NULL)""")
+        ctes.append(f"""f_{t} AS (SELECT mx, mz, mt,
+    ((n + 1) * xt / sx - xz / (sx * sz) * zt / sz) / ((n + 1) * (n + 1) - xz / (sx * sz) * xz / (sx * sz)) / sx AS cx,
+    ((n + 1) * zt / sz - xz / (sx * sz) * xt / sx) / ((n + 1) * (n + 1) - xz / (sx * sz) * xz / (sx * sz)) / sz AS cz
+  FROM g_{t})""")
+        fills.append(f"round(coalesce(o_{t}, f_{t}.mt + f_{t}.cx * ({x} - f_{t}.mx) + f_{t}.cz * ({z} - f_{t}.mz)), 2) AS {t}")
+    return ("WITH " + ",\n".join(ctes) + f"\nSELECT o_orderkey, {', '.join(fills)} FROM b, "
+            + ", ".join(f"f_{c}" for c in cols))
+
+
+@query("d11_two_predictors", _ridge_sql())
+def d11_two_predictors(spark, sf_dir):
+    """Ridge repair of three columns, each from the other two, to cents."""
+    out = impute(spark_masked_order_facts(spark, sf_dir), ORDER_FACTS.with_numeric(RIDGE_COLS),
+                 "Regression Imputation")
+    return out.select("o_orderkey", *[F.round(c, 2).alias(c) for c in RIDGE_COLS])
