@@ -172,7 +172,8 @@ def _training(spark, sf_dir):
 @query("j11_model_comparison")
 def j11_model_comparison(spark, sf_dir):
     """CV comparison of the six candidates on the training period (3 stratified folds)."""
-    return _training(spark, sf_dir).comparison
+    train, _test = modeling.chronological_split(order_facts(spark, sf_dir), "o_orderdate", KEY)
+    return selection.cross_validate(cut_lineage(train), FEATS, KEY)
 
 
 @query("j12_j15_holdout_metrics")
