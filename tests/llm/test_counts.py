@@ -103,3 +103,20 @@ def test_special_strings_where_texts_meet(spark, library):
 
 def test_empty_table(spark, no_docs, as_table):
     assert C.op11_token_counts(spark, as_table(documents=no_docs)).count() == 0
+
+
+def test_packing_ids_do_not_depend_on_its_cache(monkeypatch):
+    """Words forgotten and learned again, in any case, have the tokenizer's ids."""
+    from lacuna.llm import packing
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    words = ["Word", "word", "WORD", "don't", "x1y2", "été", "Straße", "中文", "a-b", "\U0001f642"] + [
+        "".join(rng.choices("abcdeABC'1", k=rng.randint(1, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=30)) for _ in range(60)]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for most in (0, 20_000, 1 << 30):
+        monkeypatch.setattr(packing, "CACHED_BYTES", most)
+        ids = packing.WordIds(path)
+        got = [np.frombuffer(x, "<u4").tolist() for lo in range(0, 60, 5) for x in ids.of(texts[lo:lo + 5])]
+        assert got == want
