@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from lacuna.functions.exprs import md5_key
@@ -74,3 +75,29 @@ def test_running_totals(spark):
                               num_partitions=6).toPandas().sort_values("s", ascending=False)
     assert np.allclose(out["cum_a"], np.arange(1, 201))
     assert np.allclose(out["cum_b"], np.cumsum(pdf["b"][::-1].to_numpy()))
+
+
+def test_exact_quantiles_bracket_without_sketches(spark, monkeypatch):
+    """A sketch of every value was the cost of each pass; ties, infinities and NaN stay exact."""
+    from lacuna.operators.quantile import exact_quantiles
+
+    def sketch(*_):
+        raise AssertionError("a sketch over all rows")
+
+    monkeypatch.setattr(F, "percentile_approx", sketch)
+    rng = np.random.default_rng(3)
+    n = 30_000
+    heavy = rng.integers(0, 3, n).astype(float)
+    wide = rng.standard_cauchy(n) * 1e6
+    wide[:40], wide[40:90] = np.inf, -np.inf
+    rows = [(float(a), None if i % 7 == 0 else float(b), float("nan") if i % 5 == 0 else 1.0)
+            for i, (a, b) in enumerate(zip(heavy, wide))]
+    df = spark.createDataFrame(rows, "heavy double, wide double, nan double")
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["heavy", "wide", "nan"], probs, leaf_rows=50)
+    known = np.array([r[1] for r in rows if r[1] is not None])
+    for p in probs:
+        assert got["heavy", p] == np.quantile(heavy, p)
+        at = np.sort(known)[int(np.floor((len(known) - 1) * p))]
+        assert got["wide", p] == pytest.approx(np.quantile(known, p)) if np.isfinite(at) else got["wide", p] == at
+        assert np.isnan(got["nan", p]) if p > 0.8 else got["nan", p] == 1.0
