@@ -13,6 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ def iqr_summary(df: DataFrame, cols, k: float = 1.5) -> DataFrame:
     """Per column: lower/upper fence, outlier count and rate (% of non-NULL values)."""
     cols = [c for c in cols if c in df.columns]
     clean = df.select(*[finite_or_null(F.col(c).cast("double")).alias(c) for c in cols])
+    clean = clean.persist(StorageLevel.MEMORY_AND_DISK)  # read for the fences and for the counts
     q = exact_quantiles(clean, cols, [0.25, 0.75])
     fences = {}
     for c in cols:
