@@ -71,25 +71,30 @@ def correlation_tests(df: DataFrame, cols, target: str, spearman: bool = True) -
 def spearman_rho(df: DataFrame, cols, target: str):
     """H6: Pearson r of average ranks, per pair over its complete rows.
 
-    Pairs are stacked long (pair, x, y) so one distributed ranking serves all.
+    Each column is ranked over the rows where both sides are known, and the target once for
+    all columns that are known in the same rows.
     """
-    parts = None
-    for c in cols:
-        p = df.select(F.lit(c).alias("pair"), _num(c).alias("x"), _num(target).alias("y"))
-        p = p.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        parts = p if parts is None else parts.unionByName(p)
-    parts = parts.withColumn("_row", F.monotonically_increasing_id())
     from ..session import cut_lineage
-    parts = cut_lineage(parts)
-    rx = average_ranks(parts, ["pair"], "x", "rx")
-    ry = average_ranks(rx, ["pair"], "y", "ry")
-    agg = ry.groupBy("pair").agg(F.corr("rx", "ry").alias("rho"), F.count(F.lit(1)).alias("n"),
-                                 F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"))
+    cols = list(cols)
+    x = [f"x{i}" for i in range(len(cols))]
+    wide = df.select(_num(target).alias("y"), *[_num(c).alias(n) for c, n in zip(cols, x)])
+    wide = cut_lineage(wide.filter(F.col("y").isNotNull() & F.coalesce(F.lit(None).cast("double"), *x).isNotNull()))
+    pairs = [(i, j) for j in range(len(x)) for i in range(j)]
+    apart = wide.agg(F.count(F.lit(1)), *[F.count_if(F.col(x[i]).isNull() != F.col(x[j]).isNull())
+                                          for i, j in pairs]).first()[1:]
+    alike = {p for p, n in zip(pairs, apart) if n == 0}
+    first = [next((i for i in range(j) if (i, j) in alike), j) for j in range(len(x))]
+    ranked = wide.select(*x, *[F.when(F.col(x[i]).isNotNull(), F.col("y")).alias(f"y{i}") for i in sorted(set(first))])
+    for n in list(ranked.columns):
+        ranked = average_ranks(ranked, [], n, f"r_{n}")
+    got = ranked.agg(*[e for n, i in zip(x, first) for e in (
+        F.corr(f"r_{n}", f"r_y{i}").alias(f"rho_{n}"), F.count(n).alias(f"n_{n}"),
+        F.stddev_pop(n).alias(f"sx_{n}"), F.stddev_pop(F.when(F.col(n).isNotNull(), F.col(f"y{i}"))).alias(f"sy_{n}"))
+    ]).first()
     out = []
-    got = {r["pair"]: r for r in agg.collect()}   # one row per column pair
-    for c in cols:
-        r = got.get(c)
-        if r is None or r["n"] < 3 or not r["sx"] or not r["sy"] or r["rho"] is None:
+    for c, n in zip(cols, x):
+        r = {k: got[f"{k}_{n}"] for k in ("rho", "n", "sx", "sy")}
+        if r["n"] < 3 or not r["sx"] or not r["sy"] or r["rho"] is None:
             continue
         out.append((c, r["n"], r["rho"]))
     return out

@@ -101,3 +101,24 @@ def test_exact_quantiles_bracket_without_sketches(spark, monkeypatch):
         at = np.sort(known)[int(np.floor((len(known) - 1) * p))]
         assert got["wide", p] == pytest.approx(np.quantile(known, p)) if np.isfinite(at) else got["wide", p] == at
         assert np.isnan(got["nan", p]) if p > 0.8 else got["nan", p] == 1.0
+
+
+def test_spearman_ranks_a_shared_target_once(spark, monkeypatch):
+    from lacuna.operators import stats
+    rng = np.random.default_rng(8)
+    a, b, c, y = (rng.integers(0, m, 300).astype(float).tolist() for m in (5, 40, 200, 60))
+    rows = [(None if i % 7 == 0 else p, None if i % 7 == 0 else q, None if i % 5 == 0 else r, None if i % 11 == 0 else t)
+            for i, (p, q, r, t) in enumerate(zip(a, b, c, y))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    ranked, real = [], stats.average_ranks
+    monkeypatch.setattr(stats, "average_ranks", lambda df, *k: ranked.append(df.count()) or real(df, *k))
+    got = {n: (k, r) for n, k, r in stats.spearman_rho(df, ["a", "b", "c"], "y")}
+    assert len(ranked) == 5 and max(ranked) <= 300  # a, b and c; y for a and b, y for c: never stacked
+
+    def mid(v):
+        return np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
+
+    for k, n in enumerate("abc"):
+        v = np.array([(r[k], r[3]) for r in rows if r[k] is not None and r[3] is not None])
+        assert got[n][0] == len(v)
+        assert abs(got[n][1] - np.corrcoef(mid(v[:, 0]), mid(v[:, 1]))[0, 1]) < 1e-12
