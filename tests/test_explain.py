@@ -48,3 +48,25 @@ def test_importance_follows_the_model(spark):
     rows = explain.permutation_importance(chain, df, feats, ["id"]).collect()
     assert rows[0]["feature"] == "a" and rows[0]["importance_mean"] > 0.3
     assert {r["feature"] for r in rows} == {"a", "b", "c"} and abs(rows[-1]["importance_mean"]) < 0.1
+
+
+def test_the_curves_build_their_panel_once(spark, monkeypatch):
+    from datetime import date, timedelta
+    from types import SimpleNamespace
+
+    from pyspark.sql import functions as F
+
+    from lacuna.plans import q_models
+
+    rows = [(i, date(2020, 1, 1) + timedelta(days=i % 9)) for i in range(40)]
+    facts = spark.createDataFrame(rows, "o_orderkey long, o_orderdate date").withColumn("v", F.col("o_orderkey") * 2)
+    cut = []
+    monkeypatch.setattr(q_models, "order_facts", lambda *_: facts)
+    monkeypatch.setattr(q_models, "cut_lineage", lambda df: cut.append(df.count()) or df)
+    monkeypatch.setattr(q_models, "modeling", SimpleNamespace(
+        chronological_split=q_models.modeling.chronological_split, fit_model=lambda *a: a[1].count()))
+    train = q_models._curve_rows(spark, "")
+    assert cut == [40] and train.count() == 30
+    cut.clear()
+    _fit, train, test = q_models._tree(spark, "")
+    assert cut == [30, 10] and (train.count(), test.count()) == (30, 10)
