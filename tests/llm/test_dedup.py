@@ -260,3 +260,47 @@ def test_line_dedup_hot_words(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["text"] for r in line_dedup.remove_matches(df).collect()}
     assert got == brute_lines(rows)
+
+
+def test_line_dedup_runs_no_python(spark, monkeypatch):
+    """DataFrame operations only, and the rows of steps are dealt once for both their uses."""
+    plans = []
+    written = line_dedup.tb.written
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df)
+
+    monkeypatch.setattr(line_dedup.tb, "written", seen)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 2)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(40):
+        w = [f"w{'x' * int(k % 6)}{k}" for k in rng.choice(40, rng.integers(4, 30), replace=False)]
+        near = list(w)
+        near[0] = f"e{i}"
+        rows.append((i, "\t ".join(w) + "\r\n\n" + "\x0b".join(rng.permutation(near)) + "\n" + "e f"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = line_dedup.remove_matches(df)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == brute_lines(rows)
+    assert plans and not any("InArrow" in p or "Python" in p for p in plans)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_dedup_shares_a_step(spark, seed):
+    """Sets that match at the very bound, words left out, added and changed; ids are texts."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(30):
+        n = int(rng.integers(4, 70))
+        w = [f"{'y' * int(rng.integers(0, 8))}{i}z{k}" for k in range(n)]
+        change = int(rng.integers(0, n // 9 + 2))
+        less = int(rng.integers(0, n // 5 + 1))
+        more = int(rng.integers(0, n // 4 + 1))
+        for k, other in enumerate((w[change:] + [f"c{i}q{x}" * int(rng.integers(1, 4)) for x in range(change)],
+                                   w[less:], w + [f"m{i}q{x}" for x in range(more)])):
+            rows.append((f"{i:03d}-{k}", " ".join(rng.permutation(other))))
+        rows.append((f"{i:03d}-9", " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_matches(df).collect()}
+    assert got == brute_lines(rows)
